@@ -229,16 +229,27 @@ def school_age_denominator(level, age_3_5, age_6_12, age_13_16, age_17_18) -> Co
              .when(lv.ilike("%SECONDARY%"), _c(age_13_16) + _c(age_17_18)))
 
 
-def rate(numerator, denominator, scale: float = 100.0, digits: int = 2) -> Column:
-    """D-27/D-28: round(n / d * scale, digits) when d > 0, else NULL."""
-    n, d = _c(numerator).cast("double"), _c(denominator).cast("double")
-    return F.when(d > 0, F.round(n / d * F.lit(scale), digits))
+def rate(numerator, denominator, scale: int = 100, digits: int = 2) -> Column:
+    """D-27/D-28: round(n / d * scale, digits) when d > 0, else NULL.
+
+    Computed on exact decimals (half-up on the true ratio, as NUMERIC does),
+    returned as double.
+    """
+    # Scale in integers, then divide decimal(20,0) values: Spark keeps 18
+    # decimals for that quotient, so the final round is the only rounding.
+    n = (_c(numerator).cast("long") * F.lit(int(scale))).cast("decimal(20,0)")
+    d = _c(denominator).cast("decimal(20,0)")
+    return F.when(d > 0, F.round(n / d, digits).cast("double"))
 
 
 def parity(female_rate, male_rate, digits: int = 4) -> Column:
-    """D-29/D-30: female / male, NULL unless the male value is > 0."""
-    fr, mr = _c(female_rate).cast("double"), _c(male_rate).cast("double")
-    return F.when(mr > 0, F.round(F.coalesce(fr, F.lit(0.0)) / mr, digits))
+    """D-29/D-30: female / male, NULL unless the male value is > 0.
+
+    Inputs are 2-decimal rates; the division runs on decimals.
+    """
+    fr = F.coalesce(_c(female_rate), F.lit(0.0)).cast("decimal(20,2)")
+    mr = _c(male_rate).cast("decimal(20,2)")
+    return F.when(mr > 0, F.round(fr / mr, digits).cast("double"))
 
 
 def term_start_date(year, term) -> Column:

@@ -32,8 +32,7 @@ def _hier_branch(alias: str, typ: str, chain: list[str]) -> str:
             f"WHERE {alias}.current_status AND {alias}.admin_unit_type = '{typ}'")
 
 
-HIERARCHY_SQL = f"""WITH {V.ADMIN_UNITS_SQL.strip()}
-{_hier_branch('pa', 'Parish', ['sc', 'co', 'di'])}
+HIERARCHY_BODY = f"""{_hier_branch('pa', 'Parish', ['sc', 'co', 'di'])}
 UNION ALL {_hier_branch('wa', 'Ward', ['sc', 'co', 'di'])}
 UNION ALL {_hier_branch('sc', 'Sub County', ['co', 'di'])}
 UNION ALL {_hier_branch('tc', 'Town Council', ['co', 'di'])}
@@ -41,6 +40,7 @@ UNION ALL {_hier_branch('co', 'County', ['di'])}
 UNION ALL {_hier_branch('mu', 'Municipality', ['di'])}
 UNION ALL {_hier_branch('ci', 'City', ['di'])}
 UNION ALL SELECT id, id, name FROM admin_units WHERE admin_unit_type = 'District' AND current_status"""
+HIERARCHY_SQL = f"WITH {V.ADMIN_UNITS_SQL.strip()}\n{HIERARCHY_BODY}"
 
 
 @query("hierarchy_rollup", sql=HIERARCHY_SQL)
