@@ -60,12 +60,15 @@ def parse_json_rows(df: DataFrame, json_col: str, schema: T.StructType,
                     corrupt_col: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
     """Decode row JSON; undecodable rows go to a separate error frame.
 
-    Returns (good rows, bad rows with the raw text).
+    PERMISSIVE parsing keeps the raw text of a bad row in ``corrupt_col``;
+    returns (good rows, bad rows holding only the raw text).
     """
-    parsed = df.select("*", F.from_json(F.col(json_col), schema, {"mode": "PERMISSIVE"}).alias("__r"))
-    bad_cond = F.col("__r").isNull() | F.col(json_col).isNull() | \
-        (F.col(json_col).isNotNull() & ~F.col(json_col).rlike(r"^\s*\{"))
-    good = parsed.where(~bad_cond).select("__r.*")
+    full = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType())])
+    parsed = df.select("*", F.from_json(F.col(json_col), full,
+                                        {"mode": "PERMISSIVE",
+                                         "columnNameOfCorruptRecord": corrupt_col}).alias("__r"))
+    bad_cond = F.col(f"__r.{corrupt_col}").isNotNull() | F.col("__r").isNull()
+    good = parsed.where(~bad_cond).select(*[F.col(f"__r.{f.name}").alias(f.name) for f in schema.fields])
     bad = parsed.where(bad_cond).select(F.col(json_col).alias(corrupt_col))
     return good, bad
 
