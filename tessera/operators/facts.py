@@ -8,15 +8,21 @@ from pyspark.sql import functions as F
 from tessera.operators.asof import asof_version, current_version, earliest_version
 
 
-def snapshot_fact(dim: DataFrame, key: str, as_of, date_dim: DataFrame | None = None,
-                  current_col: str = "is_current") -> DataFrame:
-    """FCT-01: one row per current dim row for the business date."""
+def snapshot_fact(dim: DataFrame, key: str, as_of, current_col: str = "is_current") -> DataFrame:
+    """FCT-01: one row per current dim row for the business date.
+
+    The business date is the partition value of the snapshot fact (write with
+    ``partitionBy("snapshot_date")``); whether the date dimension covers it is
+    a data-quality check (``date_dim_covers``), not a join on a constant.
+    """
     day = F.to_date(F.lit(as_of))
-    out = dim.where(F.col(current_col)).select(F.col(key), day.alias("snapshot_date"))
-    if date_dim is not None:
-        out = out.join(date_dim.select(F.col("system_date").alias("snapshot_date")),
-                       "snapshot_date", "left_semi")
-    return out
+    return dim.where(F.col(current_col)).select(F.col(key), day.alias("snapshot_date"))
+
+
+def date_dim_covers(date_dim: DataFrame, as_of) -> DataFrame:
+    """One-row count of date_dim rows on the business date (0 = not covered)."""
+    return date_dim.where(F.col("system_date") == F.to_date(F.lit(as_of))) \
+                   .agg(F.count(F.lit(1)).alias("n"))
 
 
 def load_fact_fallback(flat: DataFrame, dims: list[dict], date_col: str,

@@ -303,9 +303,7 @@ def q_fact_current_upsert(spark, base):
 SELECT c_custkey, DATE '{V.DAY3}' AS snapshot_date FROM dim3 WHERE is_current""")
 def q_snapshot_fact(spark, base):
     """FCT-01: one row per current dim row on the business date."""
-    t = Tables(spark, base)
-    dd = date_dim(year_bounds(t.orders, "o_orderdate"))
-    return snapshot_fact(customer_dim(spark, base, 3), "c_custkey", V.DAY3, dd)
+    return snapshot_fact(customer_dim(spark, base, 3), "c_custkey", V.DAY3)
 
 
 @query("unresolved_rows", sql=f"""WITH {V.customer_dim_sql(3)},

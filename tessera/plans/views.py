@@ -94,10 +94,13 @@ snap3 AS (
 
 def scd2_merge_sql(prev: str | None, snap: str, out: str, as_of: str, keys: list[str],
                    tracked: list[str], rules: list[tuple[str, str]] | None,
-                   initial_fields: str) -> str:
-    """SQL text of one SCD2 merge as CTEs ``<out>_s`` and ``<out>`` (oracle side)."""
+                   initial_fields: str, extra: list[str] | None = None) -> str:
+    """SQL text of one SCD2 merge as CTEs ``<out>_s`` and ``<out>`` (oracle side).
+
+    ``extra`` columns are carried untracked (from the old version when kept or
+    expired, from the snapshot for new versions)."""
     key_eq = " AND ".join(f"c.{k} = s.{k}" for k in keys)
-    cols = keys + tracked
+    cols = keys + tracked + (extra or [])
     hash_expr = "md5(concat_ws('|', " + ", ".join(
         f"coalesce(CAST({c} AS VARCHAR), '')" for c in tracked) + "))"
     sel_s = ", ".join(f"s.{c}" for c in cols)
