@@ -26,7 +26,9 @@ def assign_surrogate(df: DataFrame, order_cols: list[str], id_col: str = "id",
                 .withColumn("__pos", F.monotonically_increasing_id()
                             - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
     if checkpoint:
-        ranged = ranged.checkpoint(eager=True)
+        # Fix the partition boundaries (sampled) and positions once.
+        from tessera.session import materialize
+        ranged = materialize(ranged, "surrogate")
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition: the window below is over a bounded, tiny table.
     offsets = counts.select(

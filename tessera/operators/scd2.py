@@ -168,8 +168,10 @@ def assign_new_ids(dim: DataFrame, id_col: str, order_cols: list[str]) -> DataFr
     """SNK-07 for SCD2 versions: keep existing ids, number the new versions
     (NULL id) after the current maximum in natural-key order."""
     from tessera.operators.keys import assign_surrogate
+    from tessera.session import materialize
+    dim = materialize(dim)
     have = dim.where(F.col(id_col).isNotNull())
     fresh = dim.where(F.col(id_col).isNull()).drop(id_col)
     base = have.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"]
     numbered = assign_surrogate(fresh, order_cols, id_col=id_col, base=int(base))
-    return have.unionByName(numbered.select(*dim.columns))
+    return materialize(have.unionByName(numbered.select(*dim.columns)))

@@ -10,6 +10,7 @@ from tessera.operators import scd2
 from tessera.operators.dedupe import unique_or_null
 from tessera.operators.facts import snapshot_fact
 from tessera.operators.joins import bounded_broadcast
+from tessera.session import materialize
 
 # Tracked columns of the schools dimension (hash order) and the
 # ordered reason texts of a change.
@@ -99,8 +100,8 @@ def schools_scd2(dim: DataFrame | None, flat: DataFrame, admin_dim: DataFrame, a
                 .withColumn("admin_unit_id", F.col("__au_id")).drop("__au", "__au_id"))
     if dim is None:
         dim = scd2.empty_dim(flat.sparkSession, snap, ["source_id"] + SCHOOL_TRACKED)
-    return scd2.scd2_merge(dim, snap, ["source_id"], SCHOOL_TRACKED, as_of,
-                           reason_rules=SCHOOL_REASONS, initial_fields="ALL")
+    return materialize(scd2.scd2_merge(dim, snap, ["source_id"], SCHOOL_TRACKED, as_of,
+                                       reason_rules=SCHOOL_REASONS, initial_fields="ALL"))
 
 
 def school_fact(dim: DataFrame, as_of) -> DataFrame:

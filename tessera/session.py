@@ -71,3 +71,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str = "step"):
+    """Cut lineage by writing ``df`` as a Parquet table in the shared folder.
+
+    This is the stand-in for writing a new table version: each nightly step's
+    output (a dimension after a merge) is stored once and later steps read it
+    back (with column pruning and filter pushdown) instead of re-planning the
+    whole history. One job per call; the files live in the folder named by
+    ``spark.checkpoint.dir`` (shared storage on a cluster), so a lost
+    executor loses nothing.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
