@@ -381,3 +381,84 @@ def q_report_coverage_gap(spark, base):
         .select("l_suppkey", "subject_type").distinct()
     return required.join(offered, ["l_suppkey", "subject_type"], "left_anti") \
         .select(F.col("l_suppkey").alias("school"), "subject_type")
+
+
+# --- audit: run / step logs of the three customer-dimension runs -------------------
+
+def _run_events(spark, base):
+    """One RUNNING and one SUCCESS event per business date; counts come from
+    the day's snapshot and the versions the merge opened that day."""
+    from tessera.operators import audit as A
+    from tessera.plans.q_warehouse import customer_dim
+    t = Tables(spark, base)
+    dim = customer_dim(spark, base, 3)
+    snaps = [V.customer_day1(t.customer), V.customer_day2(t.customer), V.customer_day3(t.customer)]
+    events, steps = None, None
+    for i, (snap, day) in enumerate(zip(snaps, [V.DAY1, V.DAY2, V.DAY3]), start=1):
+        raw_n = snap.agg(F.count(F.lit(1)).alias("raw_rows"))
+        new_n = dim.where(F.col("effective_date") == F.to_date(F.lit(day))) \
+            .agg(F.count(F.lit(1)).alias("new_versions"))
+        none = F.lit(None).cast("long")
+        c = raw_n.select("raw_rows", none.alias("new_versions")) \
+            .unionByName(new_n.select(none.alias("raw_rows"), "new_versions")) \
+            .agg(F.max("raw_rows").alias("raw_rows"), F.max("new_versions").alias("new_versions"))
+        start = F.lit(f"{day} 01:00:00").cast("timestamp_ntz")
+        end = start + F.make_dt_interval(mins=(F.col("raw_rows") / 100).cast("int"))
+        rid, aso = F.lit(i).cast("long"), F.to_date(F.lit(day))
+        ev = c.select(*A.run_event(rid, aso, "RUNNING", start)).unionByName(
+            c.select(*A.run_event(rid, aso, "SUCCESS", end, F.struct("raw_rows", "new_versions"))))
+        st = c.select(rid.alias("run_id"), F.explode(F.array(
+            F.struct(F.lit("extract").alias("step"), F.col("raw_rows").alias("rows")),
+            F.struct(F.lit("scd2").alias("step"), F.col("new_versions").alias("rows")))).alias("s"),
+            start.alias("event_time")).select("run_id", "s.step", F.lit("SUCCESS").alias("status"), "s.rows",
+                                             F.lit(None).cast("string").alias("message"), "event_time")
+        events = ev if events is None else events.unionByName(ev)
+        steps = st if steps is None else steps.unionByName(st)
+    return events, steps
+
+
+def _runs_sql() -> str:
+    parts = []
+    for i, day in enumerate([V.DAY1, V.DAY2, V.DAY3], start=1):
+        parts.append(f"SELECT {i} AS run_id, DATE '{day}' AS as_of, (SELECT count(*) FROM snap{i}) AS raw_rows, "
+                     f"(SELECT count(*) FROM dim3 WHERE effective_date = DATE '{day}') AS new_versions")
+    return f"""WITH {V.customer_dim_sql(3)},
+cnt AS ({' UNION ALL '.join(parts)}),
+runs AS (SELECT CAST(run_id AS BIGINT) AS run_id, as_of, raw_rows, new_versions,
+                CAST(as_of AS TIMESTAMP) + INTERVAL 1 HOUR AS started_at,
+                CAST(as_of AS TIMESTAMP) + INTERVAL 1 HOUR + to_minutes(CAST(raw_rows // 100 AS BIGINT)) AS finished_at
+         FROM cnt)"""
+
+
+@query("audit_run_log", sql=_runs_sql() + """
+SELECT run_id, as_of, 'SUCCESS' AS status, finished_at,
+       CAST(to_json(struct_pack(raw_rows := raw_rows, new_versions := new_versions)) AS VARCHAR) AS counts_json,
+       CAST(NULL AS VARCHAR) AS error, started_at
+FROM runs""")
+def q_audit_run_log(spark, base):
+    """AUD-1 / AUD-2: append-only run events; current state = latest event."""
+    from tessera.operators import audit as A
+    events, _ = _run_events(spark, base)
+    return A.runs_latest(events)
+
+
+@query("report_runs", sql=_runs_sql() + """
+SELECT run_id, as_of, 'SUCCESS' AS status, started_at, finished_at,
+       round(date_diff('second', started_at, finished_at) / 60.0, 2) AS duration_minutes
+FROM runs ORDER BY started_at DESC, run_id DESC LIMIT 10""")
+def q_report_runs(spark, base):
+    """RPT-2: last 10 runs with duration in minutes (DAT-03)."""
+    from tessera.operators import audit as A
+    events, _ = _run_events(spark, base)
+    return A.recent_runs(A.runs_latest(events), 10)
+
+
+@query("audit_steps", sql=_runs_sql() + """
+SELECT run_id, 'extract' AS step, 'SUCCESS' AS status, raw_rows AS rows, CAST(NULL AS VARCHAR) AS message,
+       started_at AS event_time FROM runs
+UNION ALL
+SELECT run_id, 'scd2', 'SUCCESS', new_versions, CAST(NULL AS VARCHAR), started_at FROM runs""")
+def q_audit_steps(spark, base):
+    """AUD-3 / RPT-3: step log rows with row counts."""
+    _, steps = _run_events(spark, base)
+    return steps
