@@ -1,5 +1,6 @@
 """Incremental extract as an availableNow stream: exactly once across runs."""
 
+import shutil
 import tempfile
 
 from pyspark.sql import functions as F
@@ -12,13 +13,20 @@ SRC = "/root/testdata/sf0.001/orders.parquet"
 def test_incremental_stream_is_exactly_once(spark):
     schema = spark.read.parquet(SRC).schema
     work = tempfile.mkdtemp(prefix="tessera-stream-", dir="/tmp")
-    out, wm, ck = f"{work}/out", f"{work}/wm", f"{work}/ck"
-    run_incremental(spark, SRC, schema, "o_orderdate", out, wm, ck, min_ts="2000-01-01 00:00:00")
+    src, out, wm, ck = f"{work}/src", f"{work}/out", f"{work}/wm", f"{work}/ck"
+    import os
+    os.makedirs(src)
+    shutil.copy(SRC, f"{src}/part-1.parquet")
+    run_incremental(spark, src, schema, "o_orderdate", out, wm, ck, min_ts="2000-01-01 00:00:00")
     expected = spark.read.parquet(SRC).where(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
     got = spark.read.parquet(out)
     assert got.count() == expected.count()
     # a second run sees no new files: nothing is appended twice
-    run_incremental(spark, SRC, schema, "o_orderdate", out, wm, ck, min_ts="2000-01-01 00:00:00")
+    run_incremental(spark, src, schema, "o_orderdate", out, wm, ck, min_ts="2000-01-01 00:00:00")
     assert spark.read.parquet(out).count() == expected.count()
+    # a new file arriving is picked up by the next run, once
+    shutil.copy(SRC, f"{src}/part-2.parquet")
+    run_incremental(spark, src, schema, "o_orderdate", out, wm, ck, min_ts="2000-01-01 00:00:00")
+    assert spark.read.parquet(out).count() == 2 * expected.count()
     w = latest_watermark(spark, wm).first()
     assert w["watermark"] == expected.agg(F.max("o_orderdate")).first()[0]
