@@ -140,3 +140,135 @@ def admin_units_raw_sql(day: int = 1, name: str = "au_raw") -> str:
     nm = "name" if day == 1 else \
         "CASE WHEN admin_unit_type = 'Sub County' AND ((source_id - 4) // 10) % 4 = 0 THEN name || ' NEW' ELSE name END"
     return f"{name} AS (SELECT source_id, admin_unit_type, {nm} AS name, child_id FROM admin_units WHERE current_status)"
+
+
+# ---------------------------------------------------------------------------
+# Learners and enrolments (customer, orders, events).
+# Seed lookups of the enrolment mart.
+# ---------------------------------------------------------------------------
+DISABILITY_TYPES = [(1, "Visual impairment"), (2, "Hearing loss"), (3, "Physical disability"),
+                    (4, "Intellectual disability"), (5, "Self care difficulty"), (6, "Speech impairment")]
+IDENTITY_TYPES = [(1, "National ID (NIN)"), (2, "Passport"), (3, "Student Pass")]
+ENROLMENT_TYPES = [(1, "New"), (2, "Continuing"), (3, "Baseline")]
+DISABILITY_EVENT = {"error": 1, "click": 2, "purchase": 5}
+IDENTITY_EVENT = {"view": 1, "login": 2, "purchase": 3}
+
+
+def enrolment_lookups(spark: SparkSession) -> dict[str, DataFrame]:
+    return {
+        "setting_disability_types": spark.createDataFrame(DISABILITY_TYPES, "id long, name string"),
+        "setting_identity_document_types": spark.createDataFrame(IDENTITY_TYPES, "id long, name string"),
+        "setting_enrolment_types": spark.createDataFrame(ENROLMENT_TYPES, "id long, name string"),
+    }
+
+
+ENROLMENT_LOOKUPS_SQL = f"""setting_disability_types AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(DISABILITY_TYPES, ['id', 'name'])}),
+setting_identity_document_types AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(IDENTITY_TYPES, ['id', 'name'])}),
+setting_enrolment_types AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(ENROLMENT_TYPES, ['id', 'name'])})"""
+
+
+def persons(customer: DataFrame, day: int = 1) -> DataFrame:
+    """Day 2 changes the surname of every 9th person."""
+    k = F.col("c_custkey")
+    surname = F.split_part("c_name", F.lit("#"), F.lit(1))
+    if day == 2:
+        surname = F.when(k % 9 == 0, F.concat(surname, F.lit("-M"))).otherwise(surname)
+    return customer.select(
+        k.alias("id"), surname.alias("surname"),
+        F.concat(F.lit("L"), (k % 97).cast("string")).alias("first_name"),
+        F.when(k % 4 == 0, F.lit(None).cast("string"))
+         .otherwise(F.split_part("c_name", F.lit("#"), F.lit(2))).alias("other_names"),
+        (F.when(k % 23 == 0, F.lit(None).cast("string")).when(k % 10 == 1, F.lit("Male"))
+          .when(k % 10 == 2, F.lit("female")).when(k % 2 == 0, F.lit("M")).otherwise(F.lit("F"))).alias("gender"),
+        F.when(k % 29 == 0, F.lit(None).cast("date"))
+         .otherwise(F.make_date((1980 + k % 20).cast("int"), (1 + k % 12).cast("int"), (1 + k % 28).cast("int")))
+         .alias("birth_date"),
+        F.when(F.col("c_nationkey") % 2 == 0, F.col("c_nationkey").cast("long")).alias("country_id"))
+
+
+def persons_sql(day: int = 1, name: str = "persons") -> str:
+    sn = "split_part(c_name, '#', 1)" if day == 1 else \
+        "CASE WHEN c_custkey % 9 = 0 THEN split_part(c_name, '#', 1) || '-M' ELSE split_part(c_name, '#', 1) END"
+    return f"""{name} AS (SELECT c_custkey AS id, {sn} AS surname, 'L' || CAST(c_custkey % 97 AS VARCHAR) AS first_name,
+  CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE split_part(c_name, '#', 2) END AS other_names,
+  CASE WHEN c_custkey % 23 = 0 THEN NULL WHEN c_custkey % 10 = 1 THEN 'Male' WHEN c_custkey % 10 = 2 THEN 'female'
+       WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender,
+  CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE make_date(CAST(1980 + c_custkey % 20 AS INTEGER),
+       CAST(1 + c_custkey % 12 AS INTEGER), CAST(1 + c_custkey % 28 AS INTEGER)) END AS birth_date,
+  CASE WHEN c_nationkey % 2 = 0 THEN CAST(c_nationkey AS BIGINT) END AS country_id
+FROM customer)"""
+
+
+def learners(customer: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    return customer.select(
+        k.alias("person_id"), F.concat(F.lit("LIN"), k.cast("string")).alias("lin"),
+        (F.col("c_acctbal") < 0).alias("is_mother_dead"),
+        F.when(k % 7 == 0, F.lit(None).cast("boolean")).otherwise(k % 5 == 0).alias("is_father_dead"),
+        F.when(F.col("c_acctbal") < -900, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+         .alias("deleted_at"))
+
+
+LEARNERS_SRC_SQL = """learners_src AS (SELECT c_custkey AS person_id, 'LIN' || CAST(c_custkey AS VARCHAR) AS lin,
+  c_acctbal < 0 AS is_mother_dead, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey % 5 = 0 END AS is_father_dead,
+  CASE WHEN c_acctbal < -900 THEN TIMESTAMP '2024-01-01 00:00:00' END AS deleted_at FROM customer)"""
+
+
+def enrolments(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """learner_enrolments: school = smallest supplier on the order's line 1."""
+    school = lineitem.groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.min(F.when(F.col("l_linenumber") == 1, F.col("l_suppkey"))).alias("school_id"))
+    k, m = F.col("o_orderkey"), F.month("o_orderdate")
+    e = orders.select(
+        k.alias("id"), F.col("o_custkey").alias("learner_id"),
+        F.year("o_orderdate").cast("long").alias("academic_year_id"),
+        F.when(m <= 4, 1).when(m <= 8, 2).otherwise(3).cast("long").alias("teaching_period_id"),
+        F.substring("o_orderpriority", 1, 1).cast("long").alias("education_grade_id"),
+        F.when(k % 13 == 0, F.lit(None).cast("long")).otherwise(k % 3 + 1).alias("enrolment_type_id"),
+        (F.col("o_orderstatus") != "P").alias("is_enrolment_active_yn"),
+        F.col("o_orderdate").alias("date_created"))
+    return e.join(school, "id", "left")
+
+
+ENROLMENTS_SQL = """learner_enrolments AS (
+  SELECT o.o_orderkey AS id, o.o_custkey AS learner_id, CAST(year(o.o_orderdate) AS BIGINT) AS academic_year_id,
+         CAST(CASE WHEN month(o.o_orderdate) <= 4 THEN 1 WHEN month(o.o_orderdate) <= 8 THEN 2 ELSE 3 END AS BIGINT) AS teaching_period_id,
+         CAST(substr(o.o_orderpriority, 1, 1) AS BIGINT) AS education_grade_id,
+         CASE WHEN o.o_orderkey % 13 = 0 THEN NULL ELSE o.o_orderkey % 3 + 1 END AS enrolment_type_id,
+         o.o_orderstatus <> 'P' AS is_enrolment_active_yn, o.o_orderdate AS date_created, f.school_id
+  FROM orders o LEFT JOIN (SELECT l_orderkey, min(l_suppkey) FILTER (WHERE l_linenumber = 1) AS school_id
+                           FROM lineitem GROUP BY l_orderkey) f ON f.l_orderkey = o.o_orderkey)"""
+
+
+def _event_code(mapping: dict):
+    out = None
+    for ev, code in mapping.items():
+        c = F.col("event_type") == ev
+        out = F.when(c, F.lit(code)) if out is None else out.when(c, F.lit(code))
+    return out.cast("long")
+
+
+def learner_disabilities(events: DataFrame) -> DataFrame:
+    return events.select(F.col("user_id").alias("learner_id"),
+                         _event_code(DISABILITY_EVENT).alias("disability_type_id")) \
+                 .where(F.col("disability_type_id").isNotNull())
+
+
+def identity_documents(events: DataFrame) -> DataFrame:
+    return events.select(F.col("user_id").alias("person_id"),
+                         _event_code(IDENTITY_EVENT).alias("identity_type_id"),
+                         F.concat(F.lit("D"), F.col("event_id").cast("string")).alias("document_id")) \
+                 .where(F.col("identity_type_id").isNotNull())
+
+
+def _case_sql(mapping: dict) -> str:
+    return "CASE event_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in mapping.items()) + " END"
+
+
+EVENTS_SRC_SQL = f"""learner_disabilities AS (SELECT learner_id, disability_type_id FROM (
+    SELECT user_id AS learner_id, CAST({_case_sql(DISABILITY_EVENT)} AS BIGINT) AS disability_type_id FROM events) x
+  WHERE disability_type_id IS NOT NULL),
+identity_documents AS (SELECT person_id, identity_type_id, document_id FROM (
+    SELECT user_id AS person_id, CAST({_case_sql(IDENTITY_EVENT)} AS BIGINT) AS identity_type_id,
+           'D' || CAST(event_id AS VARCHAR) AS document_id FROM events) x
+  WHERE identity_type_id IS NOT NULL)"""
