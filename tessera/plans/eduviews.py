@@ -272,3 +272,78 @@ identity_documents AS (SELECT person_id, identity_type_id, document_id FROM (
     SELECT user_id AS person_id, CAST({_case_sql(IDENTITY_EVENT)} AS BIGINT) AS identity_type_id,
            'D' || CAST(event_id AS VARCHAR) AS document_id FROM events) x
   WHERE identity_type_id IS NOT NULL)"""
+
+
+# ---------------------------------------------------------------------------
+# Infrastructure: building status updates from lineitem; type seeds.
+# Building types (id, name, item category id, active, archived,
+# deleted), item categories, infrastructure types (id, name, lab, sanitation).
+# ---------------------------------------------------------------------------
+BUILDING_TYPES = [(1, "Classroom", 1, True, False, False), (2, "Laboratory", 1, True, False, False),
+                  (3, "Library", 1, True, False, False), (4, "Latrine", 2, True, False, False),
+                  (5, "Urinal", 2, None, False, False), (6, "Dormitory", 3, True, False, False),
+                  (7, "Staff house", 3, True, False, False), (8, "Kitchen", 4, False, False, False),
+                  (9, "Water tank", 4, True, False, False), (10, "Workshop", 1, True, False, False),
+                  (11, "Old store", 4, True, True, False), (12, "Demolished block", 4, True, False, True)]
+ITEM_CATEGORIES = [(1, "TEACHING SPACE"), (2, "SANITATION"), (3, "ACCOMMODATION"), (4, "OTHER")]
+INFRA_TYPES = [(1, "Classroom", False, False), (2, "Science laboratory", True, False), (3, "Library", False, False),
+               (4, "Pit latrine", False, True), (5, "Urinal", False, True), (6, "Dormitory", False, False),
+               (9, "Water tank", False, None), (10, "Workshop", None, False)]
+
+
+def infra_lookups(spark: SparkSession) -> dict[str, DataFrame]:
+    return {
+        "setting_school_building_types": spark.createDataFrame(
+            [(i, n, c, a, ar, d) for i, n, c, a, ar, d in BUILDING_TYPES],
+            "id long, name string, item_category_id long, is_active_yn boolean, is_archived_yn boolean, "
+            "is_deleted boolean"),
+        "setting_school_item_categories": spark.createDataFrame(ITEM_CATEGORIES, "id long, name string"),
+        "setting_school_infrastructure_types": spark.createDataFrame(
+            INFRA_TYPES, "id long, name string, is_lab_yn boolean, is_sanitation_yn boolean"),
+    }
+
+
+INFRA_LOOKUPS_SQL = f"""setting_school_building_types AS (SELECT CAST(id AS BIGINT) AS id, name, CAST(item_category_id AS BIGINT) AS item_category_id,
+    is_active_yn, is_archived_yn, is_deleted FROM {_values(BUILDING_TYPES, ['id', 'name', 'item_category_id', 'is_active_yn', 'is_archived_yn', 'is_deleted'])}),
+setting_school_item_categories AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(ITEM_CATEGORIES, ['id', 'name'])}),
+setting_school_infrastructure_types AS (SELECT CAST(id AS BIGINT) AS id, name, is_lab_yn, is_sanitation_yn
+    FROM {_values(INFRA_TYPES, ['id', 'name', 'is_lab_yn', 'is_sanitation_yn'])})"""
+
+
+def building_updates(lineitem: DataFrame) -> DataFrame:
+    """school_building_status_updates from lineitem (codes by key digits,
+    including out-of-range codes and areas)."""
+    li = lineitem
+    m = F.month("l_shipdate")
+    area = (F.when(F.col("l_discount") == 0.1, F.lit(-1.0))
+             .when(F.col("l_tax") == 0.08, F.lit(1e14))
+             .otherwise(F.col("l_extendedprice") / 100))
+    return li.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        F.col("l_suppkey").alias("school_id"),
+        (F.col("l_partkey") % 12 + 1).alias("building_id"),
+        F.year("l_shipdate").cast("long").alias("academic_year_id"),
+        F.when(m <= 4, 1).when(m <= 8, 2).otherwise(3).cast("long").alias("teaching_period_id"),
+        F.when(F.col("l_linenumber") == 7, F.lit(None).cast("int"))
+         .otherwise(F.col("l_quantity").cast("int")).alias("total_number"),
+        area.alias("area"),
+        (F.col("l_partkey") % 5).cast("short").alias("completion_status"),
+        (F.col("l_suppkey") % 4).cast("short").alias("usage_mode"),
+        (F.col("l_linenumber") % 5).cast("short").alias("condition"),
+        (F.col("l_orderkey") % 5).cast("short").alias("gender_usage"),
+        (F.col("l_partkey") % 4).cast("short").alias("user_category"),
+        F.col("l_shipdate").alias("date_created"),
+        (F.col("l_shipdate") + F.make_dt_interval(F.col("l_linenumber").cast("int"))).alias("date_updated"))
+
+
+BUILDING_UPDATES_SQL = """bsu AS (
+  SELECT l_orderkey * 10 + l_linenumber AS id, l_suppkey AS school_id, l_partkey % 12 + 1 AS building_id,
+         CAST(year(l_shipdate) AS BIGINT) AS academic_year_id,
+         CAST(CASE WHEN month(l_shipdate) <= 4 THEN 1 WHEN month(l_shipdate) <= 8 THEN 2 ELSE 3 END AS BIGINT) AS teaching_period_id,
+         CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_quantity AS INTEGER) END AS total_number,
+         CASE WHEN l_discount = 0.1 THEN -1.0 WHEN l_tax = 0.08 THEN 1e14 ELSE l_extendedprice / 100 END AS area,
+         CAST(l_partkey % 5 AS SMALLINT) AS completion_status, CAST(l_suppkey % 4 AS SMALLINT) AS usage_mode,
+         CAST(l_linenumber % 5 AS SMALLINT) AS condition, CAST(l_orderkey % 5 AS SMALLINT) AS gender_usage,
+         CAST(l_partkey % 4 AS SMALLINT) AS user_category, l_shipdate AS date_created,
+         l_shipdate + to_days(CAST(l_linenumber AS INTEGER)) AS date_updated
+  FROM lineitem)"""
