@@ -347,3 +347,77 @@ BUILDING_UPDATES_SQL = """bsu AS (
          CAST(l_partkey % 4 AS SMALLINT) AS user_category, l_shipdate AS date_created,
          l_shipdate + to_days(CAST(l_linenumber AS INTEGER)) AS date_updated
   FROM lineitem)"""
+
+
+# ---------------------------------------------------------------------------
+# Teachers: part -> teacher persons; lineitem -> postings and subjects.
+# Teacher-type and qualification seed rows.
+# ---------------------------------------------------------------------------
+TEACHER_OFFSET = 1_000_000
+TEACHER_TYPES = [(1, "LICENSED"), (2, "PROBATIONARY"), (3, "VOLUNTEER")]
+QUALIFICATIONS = [(1, "GRADE III"), (2, "GRADE V"), (3, "DEGREE"), (4, "MASTERS"), (5, "PHD")]
+
+
+def teacher_lookups(spark: SparkSession) -> dict[str, DataFrame]:
+    return {"setting_teacher_types": spark.createDataFrame(TEACHER_TYPES, "id long, name string"),
+            "setting_teacher_professional_qualifications": spark.createDataFrame(QUALIFICATIONS,
+                                                                                 "id long, name string")}
+
+
+TEACHER_LOOKUPS_SQL = f"""setting_teacher_types AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(TEACHER_TYPES, ['id', 'name'])}),
+setting_teacher_professional_qualifications AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(QUALIFICATIONS, ['id', 'name'])})"""
+
+
+def teachers_src(part: DataFrame, day: int = 1) -> DataFrame:
+    """persons + teachers in one frame (person_id = part key + offset)."""
+    k = F.col("p_partkey")
+    ipps = F.when(k % 6 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("IPPS"), k.cast("string")))
+    if day == 2:
+        ipps = F.when(k % 7 == 0, F.concat(F.lit("IPPS-N"), k.cast("string"))).otherwise(ipps)
+    return part.select(
+        (k + TEACHER_OFFSET).alias("person_id"),
+        F.split_part("p_name", F.lit(" "), F.lit(2)).alias("surname"),
+        F.split_part("p_name", F.lit(" "), F.lit(1)).alias("first_name"),
+        F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("other_names"),
+        F.when(k % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
+        F.make_date((1960 + k % 35).cast("int"), (1 + k % 12).cast("int"), (1 + k % 28).cast("int")).alias("birth_date"),
+        (F.col("p_size") % 3 + 1).cast("long").alias("teacher_type_id"),
+        (F.col("p_size") % 5 + 1).cast("long").alias("qualification_id"),
+        ipps.alias("ipps_number"),
+        F.when(k % 4 == 0, F.lit(None).cast("boolean")).otherwise(F.col("p_retailprice") > 1500)
+         .alias("is_on_government_payroll"))
+
+
+def teachers_src_sql(day: int = 1, name: str = "teachers_src") -> str:
+    ipps = "CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE 'IPPS' || CAST(p_partkey AS VARCHAR) END"
+    if day == 2:
+        ipps = f"CASE WHEN p_partkey % 7 = 0 THEN 'IPPS-N' || CAST(p_partkey AS VARCHAR) ELSE {ipps} END"
+    return f"""{name} AS (SELECT p_partkey + {TEACHER_OFFSET} AS person_id, split_part(p_name, ' ', 2) AS surname,
+  split_part(p_name, ' ', 1) AS first_name, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_brand END AS other_names,
+  CASE WHEN p_partkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+  make_date(CAST(1960 + p_partkey % 35 AS INTEGER), CAST(1 + p_partkey % 12 AS INTEGER), CAST(1 + p_partkey % 28 AS INTEGER)) AS birth_date,
+  CAST(p_size % 3 + 1 AS BIGINT) AS teacher_type_id, CAST(p_size % 5 + 1 AS BIGINT) AS qualification_id,
+  {ipps} AS ipps_number,
+  CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_retailprice > 1500 END AS is_on_government_payroll
+FROM part)"""
+
+
+def school_employees(lineitem: DataFrame) -> DataFrame:
+    """One employment per (teacher, school) that ships the part; started on the first shipment."""
+    return lineitem.groupBy((F.col("l_partkey") + TEACHER_OFFSET).alias("person_id"),
+                            F.col("l_suppkey").alias("school_id")) \
+                   .agg(F.to_date(F.min("l_shipdate")).alias("date_started"))
+
+
+SCHOOL_EMPLOYEES_SQL = f"""school_employees AS (SELECT l_partkey + {TEACHER_OFFSET} AS person_id, l_suppkey AS school_id,
+  CAST(min(l_shipdate) AS DATE) AS date_started FROM lineitem GROUP BY 1, 2)"""
+
+
+def teacher_subjects(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select((F.col("l_partkey") + TEACHER_OFFSET).alias("person_id"),
+                           F.col("l_linenumber").cast("long").alias("subject_id")).distinct() \
+                   .withColumn("is_science_subject", F.col("subject_id") <= 3)
+
+
+TEACHER_SUBJECTS_SQL = f"""teacher_subjects AS (SELECT DISTINCT l_partkey + {TEACHER_OFFSET} AS person_id,
+  CAST(l_linenumber AS BIGINT) AS subject_id, l_linenumber <= 3 AS is_science_subject FROM lineitem)"""
