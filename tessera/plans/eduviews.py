@@ -421,3 +421,72 @@ def teacher_subjects(lineitem: DataFrame) -> DataFrame:
 
 TEACHER_SUBJECTS_SQL = f"""teacher_subjects AS (SELECT DISTINCT l_partkey + {TEACHER_OFFSET} AS person_id,
   CAST(l_linenumber AS BIGINT) AS subject_id, l_linenumber <= 3 AS is_science_subject FROM lineitem)"""
+
+
+# ---------------------------------------------------------------------------
+# Non-teaching staff: part -> staff persons; lineitem -> employee records.
+# Staff category and role seed rows.
+# ---------------------------------------------------------------------------
+NTS_OFFSET = 2_000_000
+STAFF_CATEGORIES = [(1, "ADMINISTRATIVE"), (2, "SUPPORT"), (3, "TECHNICAL"), (4, "SECURITY")]
+STAFF_ROLES = [(1, "BURSAR", 1), (2, "SECRETARY", 1), (3, "COOK", 2), (4, "CLEANER", 2), (5, "LAB ASSISTANT", 3),
+               (6, "ASKARI", 4)]
+
+
+def nts_lookups(spark: SparkSession) -> dict[str, DataFrame]:
+    return {"setting_non_teaching_staff_categories": spark.createDataFrame(STAFF_CATEGORIES, "id long, name string"),
+            "setting_non_teaching_staff_roles": spark.createDataFrame(
+                STAFF_ROLES, "id long, name string, non_teaching_staff_category_id long")}
+
+
+NTS_LOOKUPS_SQL = f"""setting_non_teaching_staff_categories AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(STAFF_CATEGORIES, ['id', 'name'])}),
+setting_non_teaching_staff_roles AS (SELECT CAST(id AS BIGINT) AS id, name, CAST(c AS BIGINT) AS non_teaching_staff_category_id
+    FROM {_values(STAFF_ROLES, ['id', 'name', 'c'])})"""
+
+
+def nts_src(part: DataFrame, lineitem: DataFrame, day: int = 1) -> DataFrame:
+    """non_teaching_staff + person fields; current school = smallest supplier
+    shipping the part. Day 2 moves every 5th staff member to role 1."""
+    k = F.col("p_partkey")
+    first_school = lineitem.groupBy(F.col("l_partkey").alias("p_partkey")) \
+        .agg(F.min("l_suppkey").alias("current_school_id"))
+    role = (F.col("p_size") % 6 + 1)
+    if day == 2:
+        role = F.when(k % 5 == 0, F.lit(1)).otherwise(role)
+    return part.join(first_school, "p_partkey", "left").select(
+        (k + NTS_OFFSET).alias("person_id"),
+        F.split_part("p_name", F.lit(" "), F.lit(1)).alias("surname"),
+        F.col("p_brand").alias("first_name"),
+        F.when(k % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("gender"),
+        F.when(k % 13 == 0, F.lit(None).cast("date"))
+         .otherwise(F.make_date((1970 + k % 30).cast("int"), (1 + k % 12).cast("int"), F.lit(15))).alias("birth_date"),
+        "current_school_id",
+        (F.col("p_size") % 4 + 1).cast("long").alias("non_teaching_staff_category_id"),
+        role.cast("long").alias("non_teaching_staff_role_id"),
+        F.make_date((1990 + k % 10).cast("int"), F.lit(1), F.lit(10)).alias("appointment_date"))
+
+
+def nts_src_sql(day: int = 1, name: str = "nts_src") -> str:
+    role = "p.p_size % 6 + 1" if day == 1 else "CASE WHEN p.p_partkey % 5 = 0 THEN 1 ELSE p.p_size % 6 + 1 END"
+    return f"""{name} AS (SELECT p.p_partkey + {NTS_OFFSET} AS person_id, split_part(p.p_name, ' ', 1) AS surname,
+  p.p_brand AS first_name, CASE WHEN p.p_partkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender,
+  CASE WHEN p.p_partkey % 13 = 0 THEN NULL ELSE make_date(CAST(1970 + p.p_partkey % 30 AS INTEGER),
+       CAST(1 + p.p_partkey % 12 AS INTEGER), 15) END AS birth_date,
+  f.current_school_id, CAST(p.p_size % 4 + 1 AS BIGINT) AS non_teaching_staff_category_id,
+  CAST({role} AS BIGINT) AS non_teaching_staff_role_id,
+  make_date(CAST(1990 + p.p_partkey % 10 AS INTEGER), 1, 10) AS appointment_date
+FROM part p LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS current_school_id FROM lineitem GROUP BY l_partkey) f
+  ON f.l_partkey = p.p_partkey)"""
+
+
+def nts_employees(lineitem: DataFrame) -> DataFrame:
+    """Employee records: one per (staff, school) that ships the part on a
+    line >= 5, last updated on the latest such shipment."""
+    li = lineitem.where(F.col("l_linenumber") >= 5)
+    return li.groupBy((F.col("l_partkey") + NTS_OFFSET).alias("person_id"), F.col("l_suppkey").alias("school_id")) \
+             .agg(F.to_date(F.min("l_shipdate")).alias("date_created"), F.to_date(F.max("l_shipdate")).alias("date_updated"))
+
+
+NTS_EMPLOYEES_SQL = f"""nts_employees AS (SELECT l_partkey + {NTS_OFFSET} AS person_id, l_suppkey AS school_id,
+  CAST(min(l_shipdate) AS DATE) AS date_created, CAST(max(l_shipdate) AS DATE) AS date_updated
+  FROM lineitem WHERE l_linenumber >= 5 GROUP BY 1, 2)"""
