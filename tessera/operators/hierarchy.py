@@ -5,7 +5,8 @@ parent's ``source_id``). Rather than one self-join chain per type unioned
 together, all units climb together: three parent-pointer joins move every
 unit one level per step, and a unit stops at the step its type requires.
 The node table (one row per current unit, about 10^5 in practice) is
-broadcast only after its size is checked.
+joined without a hint: AQE measures it at run time and broadcasts it when it
+is under the threshold, else keeps the sort-merge join.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import bounded_broadcast
 
 # Parent links climbed per unit type to reach the District.
 HOPS_TO_DISTRICT = {
@@ -39,7 +39,7 @@ def unit_to_district(units: DataFrame, id_col: str = "id", source_col: str = "so
     District. Unknown types and broken chains yield no row.
     """
     cur = units.where(F.col(current_col))
-    nodes = bounded_broadcast(cur.select(F.col(source_col).alias("__src"),
+    nodes = (cur.select(F.col(source_col).alias("__src"),
                                          F.col(parent_col).alias("__parent"),
                                          F.col(id_col).alias("__id"),
                                          F.col(type_col).alias("__type"),

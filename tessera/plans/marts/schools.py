@@ -9,7 +9,6 @@ from tessera.functions import rules
 from tessera.operators import scd2
 from tessera.operators.dedupe import unique_or_null
 from tessera.operators.facts import snapshot_fact
-from tessera.operators.joins import bounded_broadcast
 from tessera.session import materialize
 
 # Tracked columns of the schools dimension (hash order) and the
@@ -55,8 +54,8 @@ def flatten_schools(raw: DataFrame, subtypes: dict[str, DataFrame], lookups: dic
           .join(lk["setting_founding_bodies"].select(F.col("id").alias("__fb"), F.col("name").alias("fb_name")),
                 F.col("founding_body_id") == F.col("__fb"), "left"))
     # D-09b: first level whose source id is a current admin unit.
-    live = bounded_broadcast(admin_dim.where(F.col("current_status"))
-                             .select(F.col("source_id").alias("__sid")).distinct())
+    live = (admin_dim.where(F.col("current_status"))
+            .select(F.col("source_id").alias("__sid")).distinct())
     verified = []
     for lvl in ADMIN_LEVELS:
         x = x.join(live.withColumn(f"__ok_{lvl}", F.lit(True)), F.col(lvl) == F.col("__sid"), "left").drop("__sid")
@@ -96,7 +95,7 @@ def schools_scd2(dim: DataFrame | None, flat: DataFrame, admin_dim: DataFrame, a
     decision D25), then merge with the ordered reason rules."""
     cur = admin_dim.where(F.col("current_status")).select(F.col("source_id").alias("__au"),
                                                           F.col("id").alias("__au_id"))
-    snap = (flat.join(bounded_broadcast(cur), F.col("admin_unit_id") == F.col("__au"), "left")
+    snap = (flat.join(cur, F.col("admin_unit_id") == F.col("__au"), "left")
                 .withColumn("admin_unit_id", F.col("__au_id")).drop("__au", "__au_id"))
     if dim is None:
         dim = scd2.empty_dim(flat.sparkSession, snap, ["source_id"] + SCHOOL_TRACKED)

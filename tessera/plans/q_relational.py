@@ -9,7 +9,7 @@ from tessera.operators import scd2
 from tessera.operators.calendar import term_calendar, term_dates
 from tessera.operators.dedupe import pick_one, unique_or_null
 from tessera.operators.hierarchy import unit_to_district
-from tessera.operators.joins import bounded_broadcast, expand_over, or_join_terms
+from tessera.operators.joins import expand_over, or_join_terms
 from tessera.plans import views as V
 from tessera.plans.registry import Tables, query
 
@@ -278,7 +278,6 @@ def q_verified_best_level(spark, base):
     units (D-09a, unverified coalesce, alongside)."""
     t = Tables(spark, base)
     cur = units(t).where("current_status").select(F.col("source_id").alias("__sid")).distinct()
-    cur = bounded_broadcast(cur)
     c = _candidates(t)
     verified = []
     for lvl in _LEVELS:

@@ -33,10 +33,21 @@ class Tables:
 
     def __init__(self, spark: SparkSession, base: str):
         self._spark, self._base = spark, base
+        self._memo: dict = {}
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
         return read_table(self._spark, self._base, name)
 
+    def step(self, key, build):
+        """Build a pipeline step once per query build (one nightly run's
+        dimension or staging table is produced once and read by every later
+        step of the same query; nothing is shared between queries)."""
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
+
 
 def load_all():
     """Import every catalogue module so its queries register."""
