@@ -19,7 +19,7 @@ def units(t: Tables):
 
 
 def _hier_branch(alias: str, typ: str, chain: list[str]) -> str:
-    """One reference-style branch: unit -> parents (type-blind) -> District."""
+    """One source-style branch: unit -> parents (type-blind) -> District."""
     joins, prev = [], alias
     for i, _ in enumerate(chain[:-1]):
         nxt = f"{alias}_p{i}"
