@@ -58,19 +58,27 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SCRATCH: dict = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS/object store) folder; only when nothing is
-    set (local tests) is a fresh scratch folder created.
+    A cluster names a shared (HDFS/object store) folder at submit time; only
+    when nothing is set (local tests) is one scratch folder created per
+    SparkContext. ``spark.checkpoint.dir`` is a core setting that cannot be
+    changed at run time, so the fallback is registered with
+    ``setCheckpointDir`` instead.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if path:
+        return path
+    key = id(spark.sparkContext)
+    if key not in _SCRATCH:
+        _SCRATCH[key] = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
+        spark.sparkContext.setCheckpointDir(_SCRATCH[key])
+    return _SCRATCH[key]
 
 
 def materialize(df, name: str = "step"):
