@@ -76,4 +76,39 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
        sha256(t) AS text_sha256
 FROM n"""
 
-SQL: dict[str, str] = {"op2_quality_rules": OP2, "op7_secret_scan": _op7(), "op9_exact_dedup": OP9}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op1(rules, sites) -> str:
+    """``rules``: the prefix rules; ``sites``: those whose pages are listed."""
+    ranked = sorted(rules, key=lambda r: (-len(r.text), -len(r.host), r.text))
+    rule = " ".join(f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.text}'" for r in ranked)
+    verdict = " ".join(f"WHEN rule = '{r.text}' THEN '{r.verdict}'" for r in ranked)
+    return rf"""
+WITH a AS (SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+b AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query FROM a),
+k AS (SELECT page_id, host, path, CASE WHEN host = '' THEN '' ELSE
+        regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') || CASE WHEN q = '' THEN '' ELSE '?' || q END END AS key
+      FROM (SELECT *, array_to_string(list_sort(list_filter(string_split(query, '&'),
+              lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))), '&') AS q FROM b)),
+l AS (SELECT DISTINCT key FROM k WHERE regexp_matches(host, '(^|\.)({'|'.join(sites)})\.') AND key <> ''),
+r AS (SELECT page_id, host, path, CASE {rule} END AS rule, l.key IS NOT NULL AS listed FROM k LEFT JOIN l USING (key))
+SELECT page_id, host, path, rule, CASE {verdict} WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed FROM r"""
+
+
+OP6 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS k,
+                  regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+g AS (SELECT r, k, i, array_to_string(w[i:i + 12], ' ') AS g
+      FROM (SELECT r, k, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+f AS (SELECT g, min(k) AS first FROM g GROUP BY g),
+p AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM g JOIN f USING (g) WHERE first < k),
+gone AS (SELECT r, count(*) AS n FROM p GROUP BY r),
+left_ AS (SELECT r, string_agg(v.x, ' ' ORDER BY v.p) AS t
+          FROM (SELECT r, unnest(list_transform(range(1, len(w) + 1), lambda j: {{'p': j, 'x': w[j]}})) AS v FROM d) AS u
+          ANTI JOIN p ON p.r = u.r AND p.p = u.v.p GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(gone.n, 0) AS n_removed, sha256(coalesce(left_.t, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (r) LEFT JOIN left_ USING (r)"""
+
+SQL: dict[str, str] = {"op2_quality_rules": OP2, "op6_substring_dedup": OP6, "op7_secret_scan": _op7(), "op9_exact_dedup": OP9}
