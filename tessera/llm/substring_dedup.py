@@ -72,8 +72,8 @@ def _anchors(docs: DataFrame, half: int, length: int) -> DataFrame:
 
 
 def _windows(docs: DataFrame, half: int, length: int) -> DataFrame:
-    """Per (key, text, survivors) row the full windows whose taken half is
-    among ``survivors``: parallel arrays of start and hash."""
+    """Per (key, text, survivors, mark) row the full windows whose taken half
+    is among ``survivors``: parallel arrays of start and hash."""
     def run(batches):
         for batch in batches:
             for lo, hi, data, offsets in text_blocks(batch.column(1)):
@@ -89,10 +89,11 @@ def _windows(docs: DataFrame, half: int, length: int) -> DataFrame:
                     found.append(full[a + keep])
                 bounds = pa.array(np.cumsum([0, *map(len, places)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(places))),
-                     pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(found)))], names=["key", "starts", "hashes"])
+                    [batch.column(0).slice(lo, hi - lo), batch.column(3).slice(lo, hi - lo),
+                     pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(places))),
+                     pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(found)))], names=["key", "mark", "starts", "hashes"])
 
-    return docs.mapInArrow(run, "key long, starts array<int>, hashes array<long>")
+    return docs.mapInArrow(run, "key long, mark long, starts array<int>, hashes array<long>")
 
 
 def _without(docs: DataFrame, length: int) -> DataFrame:
@@ -128,14 +129,15 @@ def _repeated(rows: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, scratch: Scratch, length: int, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(key, starts): starts of the windows of (key, text) rows that also stand
-    in a document with a smaller key."""
+    """(key, mark, starts): starts of the windows of (key, text, mark) rows that
+    also stand in a document with a smaller key. ``mark`` tells texts of one
+    key apart."""
     half = (length + 1) // 2
-    anchors = scratch.save(_anchors(docs, half, length), "anchors")
+    anchors = scratch.save(_anchors(docs.select("key", "text"), half, length), "anchors")
     singles = anchors.select("key", F.explode("anchors").alias("hash"))
     halves = scratch.save(_repeated(singles), "halves")
     n = halves.count()
-    empty = docs.sparkSession.createDataFrame([], "key long, starts array<int>")
+    empty = docs.sparkSession.createDataFrame([], "key long, mark long, starts array<int>")
     if n == 0:
         return empty
     blocks, n_blocks = filter_blocks(halves.select(F.col("hash").alias("key")), n, BLOOM_BLOCKS)
@@ -145,11 +147,11 @@ def repeated_windows(docs: DataFrame, scratch: Scratch, length: int, broadcast_r
     texts = docs
     if survivors.count() <= broadcast_rows:
         texts = docs.join(F.broadcast(survivors.select("key")), "key", "left_semi")
-    full = scratch.save(_windows(texts.join(survivors, "key").select("key", "text", "survivors"), half, length), "windows")
+    full = scratch.save(_windows(texts.join(survivors, "key").select("key", "text", "survivors", "mark"), half, length), "windows")
     singles = full.select("key", F.explode("hashes").alias("hash"))
     twice = scratch.save(_repeated(singles), f"repeated-{length}")
-    placed = full.select("key", F.explode(F.arrays_zip("starts", "hashes")).alias("w")).select("key", "w.starts", F.col("w.hashes").alias("hash"))
-    return scratch.save(placed.join(twice, "hash").where("key > first").groupBy("key").agg(F.collect_list("starts").alias("starts")), "removals")
+    placed = full.select("key", "mark", F.explode(F.arrays_zip("starts", "hashes")).alias("w")).select("key", "mark", "w.starts", F.col("w.hashes").alias("hash"))
+    return scratch.save(placed.join(twice, "hash").where("key > first").groupBy("key", "mark").agg(F.collect_set("starts").alias("starts")), "removals")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 13,
@@ -158,13 +160,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept words joined by one space)."""
     scratch = Scratch(docs.sparkSession, "repeats")
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), F.col(text_col).cast("string").alias("text"))
-    removals = repeated_windows(rows.select("key", "text"), scratch, length, broadcast_rows)
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), text.alias("text"), F.xxhash64(text).alias("mark"))
+    removals = repeated_windows(rows.select("key", "text", "mark"), scratch, length, broadcast_rows)
     none = F.lit(None).cast("array<int>")
     if removals.count() <= broadcast_rows:
-        ids = F.broadcast(removals.select("key"))
-        touched = rows.join(ids, "key", "left_semi").join(removals, "key")
-        untouched = rows.join(ids, "key", "left_anti").withColumn("starts", none)
-        both = (touched.select("doc_id", "text", "starts"), untouched.select("doc_id", "text", "starts"))
-        return _without(both[0], length).union(_without(both[1], length))
-    return _without(rows.join(removals, "key", "left").select("doc_id", "text", "starts"), length)
+        ids = F.broadcast(removals.select("key", "mark"))
+        touched = rows.join(ids, ["key", "mark"], "left_semi").join(removals, ["key", "mark"])
+        untouched = rows.join(ids, ["key", "mark"], "left_anti").withColumn("starts", none)
+        return _without(touched.select("doc_id", "text", "starts"), length).union(_without(untouched.select("doc_id", "text", "starts"), length))
+    return _without(rows.join(removals, ["key", "mark"], "left").select("doc_id", "text", "starts"), length)
