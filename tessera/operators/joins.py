@@ -1,63 +1,32 @@
-"""Join helpers: size-checked broadcast and fan-out over small calendars."""
+"""Join helpers: fan-out over calendars without a join, OR-join split."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookups above this many rows are left to the planner (sort-merge join, or a
-# broadcast chosen by AQE from the measured size at run time).
-BROADCAST_ROW_LIMIT = 2_000_000
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """``broadcast(df)`` only when ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan),
-    so it is cheap for a real lookup and bounded for a table that is not.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def small_rows(df: DataFrame, max_rows: int, what: str = "table") -> list:
-    """Collect a table that must be small (a calendar, a code list).
-
-    Raises instead of pulling an unbounded table to the driver.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"{what} has more than {max_rows} rows; refusing to collect it")
-    return rows
-
-
-def expand_over(df: DataFrame, table: DataFrame, max_rows: int = 10_000,
-                what: str = "calendar") -> DataFrame:
-    """Give every row of ``df`` one copy per row of a small ``table``.
+def expand_over(df: DataFrame, table: DataFrame) -> DataFrame:
+    """Give every row of ``df`` one copy per row of ``table``, a calendar or
+    code list.
 
     This is the row-times-term grain of the staff facts (``JOIN .. ON TRUE``).
-    The bounded table becomes a literal array that each row explodes: a
-    map-only step, no join and no shuffle.
+    The list becomes one array, a scalar subquery of the same plan, which each
+    row explodes: no join, no shuffle of ``df``, and no limit on the list. An
+    empty list gives no rows.
     """
-    rows = small_rows(table, max_rows, what)
     cols = table.columns
-    fields = table.schema.fields
-    if not rows:
-        return df.select(*df.columns, *[F.lit(None).cast(f.dataType).alias(f.name)
-                                        for f in fields]).where(F.lit(False))
-    lits = [F.struct(*[F.lit(r[c]).cast(f.dataType).alias(c) for c, f in zip(cols, fields)])
-            for r in rows]
-    return (df.withColumn("__term", F.explode(F.array(*lits)))
+    terms = table.agg(F.collect_list(F.struct(*cols))).scalar()
+    return (df.withColumn("__term", F.explode(terms))
               .select(*df.columns, *[F.col(f"__term.{c}").alias(c) for c in cols]))
 
 
-def or_join_terms(df: DataFrame, calendar: DataFrame, df_school: str, cal_school: str,
-                  max_global: int = 10_000) -> DataFrame:
+def or_join_terms(df: DataFrame, calendar: DataFrame, df_school: str, cal_school: str) -> DataFrame:
     """J-03: ``ON (cal.school IS NULL OR cal.school = df.school)`` without a
     nested-loop join: global rows are expanded, school rows equi-joined."""
     global_rows = calendar.where(F.col(cal_school).isNull())
     specific = calendar.where(F.col(cal_school).isNotNull())
-    a = expand_over(df, global_rows, max_global, "global terms")
+    a = expand_over(df, global_rows)
     b = df.join(specific, df[df_school] == specific[cal_school], "inner") \
           .select(*df.columns, *[specific[c] for c in calendar.columns])
     return a.unionByName(b)

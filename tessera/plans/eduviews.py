@@ -49,8 +49,10 @@ setting_founding_bodies AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(
 
 
 def schools_raw(supplier: DataFrame, nation: DataFrame, day: int = 1) -> DataFrame:
-    """stg.schools_raw-shaped frame. Day 2 renames every 11th school and
-    changes the operational status of every 7th."""
+    """stg.schools_raw-shaped frame. Codes grow with the key; every 20th pair
+    of schools shares one (a planted duplicate, the same share at any size).
+    Day 2 renames every 11th school and changes the operational status of
+    every 7th."""
     s = supplier.join(nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey"), "s_nationkey")
     k = F.col("s_suppkey")
     C = V.UNIT_CODE
@@ -62,7 +64,7 @@ def schools_raw(supplier: DataFrame, nation: DataFrame, day: int = 1) -> DataFra
     return s.select(
         k.alias("id"), name.alias("name"),
         F.when(k % 17 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("E"), (k % 90).cast("string"))).alias("emis_number"),
+         .otherwise(F.concat(F.lit("E"), F.when(k % 40 < 2, k - k % 2).otherwise(k).cast("string"))).alias("emis_number"),
         F.when(F.col("s_acctbal") < 0, k * 10).otherwise(k * 10 + C["Parish"]).alias("parish_id"),
         (F.col("s_nationkey").cast("long") * 10 + C["Sub County"]).alias("sub_county_id"),
         (F.col("s_nationkey").cast("long") * 10 + C["County"]).alias("county_id"),
@@ -88,7 +90,7 @@ def schools_raw_sql(day: int = 1, name: str = "schools_raw") -> str:
         "CASE WHEN s.s_suppkey % 7 = 0 THEN (s.s_suppkey + 1) % 3 + 1 ELSE s.s_suppkey % 3 + 1 END"
     return f"""{name} AS (
   SELECT s.s_suppkey AS id, {nm} AS name,
-         CASE WHEN s.s_suppkey % 17 = 0 THEN NULL ELSE 'E' || CAST(s.s_suppkey % 90 AS VARCHAR) END AS emis_number,
+         CASE WHEN s.s_suppkey % 17 = 0 THEN NULL ELSE 'E' || CAST(CASE WHEN s.s_suppkey % 40 < 2 THEN s.s_suppkey - s.s_suppkey % 2 ELSE s.s_suppkey END AS VARCHAR) END AS emis_number,
          CASE WHEN s.s_acctbal < 0 THEN s.s_suppkey * 10 ELSE s.s_suppkey * 10 + {C['Parish']} END AS parish_id,
          CAST(s.s_nationkey AS BIGINT) * 10 + {C['Sub County']} AS sub_county_id,
          CAST(s.s_nationkey AS BIGINT) * 10 + {C['County']} AS county_id,
@@ -215,9 +217,9 @@ LEARNERS_SRC_SQL = """learners_src AS (SELECT c_custkey AS person_id, 'LIN' || C
 
 
 def enrolments(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """learner_enrolments: school = smallest supplier on the order's line 1."""
-    school = lineitem.groupBy(F.col("l_orderkey").alias("id")).agg(
-        F.min(F.when(F.col("l_linenumber") == 1, F.col("l_suppkey"))).alias("school_id"))
+    """learner_enrolments: school = supplier on the order's first line (the
+    smallest line number, then supplier, that the order has)."""
+    school = V.first_supplier(lineitem, "id", "school_id")
     k, m = F.col("o_orderkey"), F.month("o_orderdate")
     e = orders.select(
         k.alias("id"), F.col("o_custkey").alias("learner_id"),
@@ -236,7 +238,7 @@ ENROLMENTS_SQL = """learner_enrolments AS (
          CAST(substr(o.o_orderpriority, 1, 1) AS BIGINT) AS education_grade_id,
          CASE WHEN o.o_orderkey % 13 = 0 THEN NULL ELSE o.o_orderkey % 3 + 1 END AS enrolment_type_id,
          o.o_orderstatus <> 'P' AS is_enrolment_active_yn, o.o_orderdate AS date_created, f.school_id
-  FROM orders o LEFT JOIN (SELECT l_orderkey, min(l_suppkey) FILTER (WHERE l_linenumber = 1) AS school_id
+  FROM orders o LEFT JOIN (SELECT l_orderkey, first(l_suppkey ORDER BY l_linenumber, l_suppkey) AS school_id
                            FROM lineitem GROUP BY l_orderkey) f ON f.l_orderkey = o.o_orderkey)"""
 
 

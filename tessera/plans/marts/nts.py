@@ -45,7 +45,7 @@ def flatten_nts(raw: DataFrame, calendar: DataFrame, years: DataFrame, periods:
                 .select(rules.academic_year("__ay", "start_date").alias("academic_year"),
                         rules.term_label("__tp").alias("term"), F.col("start_date").alias("term_start_date")))
     staff = raw.where(F.col("school_id").isNotNull())
-    x = expand_over(staff, named, what="term calendar")
+    x = expand_over(staff, named)
     day = F.to_date(F.lit(as_of))
     return x.select("person_id", "school_id", "academic_year", "term", "term_start_date", "surname", "given_name",
                     "gender", F.when(F.col("birth_date").isNotNull(), rules.age_years("birth_date", day)).alias("age"),

@@ -181,7 +181,7 @@ def q_staff_term_cross(spark, base):
     """J-04 + CAL-02: every staff row gets each active global term once."""
     t = Tables(spark, base)
     staff = t.supplier.select("s_suppkey")
-    return expand_over(staff, _global_terms(spark, t), what="term calendar")
+    return expand_over(staff, _global_terms(spark, t))
 
 
 @query("term_or_join", sql=f"""WITH {V.TERM_CALENDAR_SQL.strip()}

@@ -246,9 +246,8 @@ def q_csv_roundtrip(spark, base):
 def transfers(t):
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                            F.to_date("l_shipdate").alias("posting_date"))
-    # Incoming school: the smallest supplier on the order's line 1 (one row per order).
-    first_line = li.groupBy(F.col("l_orderkey").alias("__o")).agg(
-        F.min(F.when(F.col("l_linenumber") == 1, F.col("l_suppkey"))).alias("incoming_school"))
+    # Incoming school: the supplier on the order's first line (one row per order).
+    first_line = V.first_supplier(li, "__o", "incoming_school")
     x = li.join(first_line, F.col("l_orderkey") == F.col("__o"), "left").drop("__o")
     supp = t.supplier.select("s_suppkey", "s_nationkey")
     out_s = supp.select(F.col("s_suppkey").alias("__os"), F.col("s_nationkey").alias("out_nation"))
@@ -277,7 +276,7 @@ post AS (SELECT l_partkey AS p_person, l_suppkey AS p_school, posting_date AS p_
 base AS (
   SELECT li.*, f.l_suppkey AS incoming_school, so.s_nationkey AS out_nation, si.s_nationkey AS in_nation,
          CAST(li.l_linenumber % 4 AS INTEGER) AS status, CAST(li.posting_date + (li.l_linenumber * 3 - 4) AS DATE) AS reporting_date
-  FROM li LEFT JOIN (SELECT l_orderkey, min(l_suppkey) FILTER (WHERE l_linenumber = 1) AS l_suppkey
+  FROM li LEFT JOIN (SELECT l_orderkey, first(l_suppkey ORDER BY l_linenumber, l_suppkey) AS l_suppkey
                      FROM li GROUP BY l_orderkey) f ON f.l_orderkey = li.l_orderkey
   LEFT JOIN supplier so ON so.s_suppkey = li.l_suppkey LEFT JOIN supplier si ON si.s_suppkey = f.l_suppkey),
 tr AS (
@@ -368,19 +367,17 @@ CROSS JOIN (SELECT DISTINCT p_type || '/' || p_brand AS subject_type FROM part)
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l JOIN part q ON q.p_partkey = l.l_partkey
                   WHERE l.l_suppkey = s.l_suppkey AND q.p_type || '/' || q.p_brand = p.subject_type)""")
 def q_report_coverage_gap(spark, base):
-    """RPT-9: required (school x subject type) pairs nobody covers. The
-    subject-type list is a bounded code list, expanded per school."""
-    from tessera.operators.joins import expand_over
+    """RPT-9: required (school x subject type) pairs nobody covers. Each
+    school's offered types are gathered into a set (types are a code list) and
+    taken from the list of all types; only the gaps become rows."""
     t = Tables(spark, base)
-    schools = t.lineitem.select("l_suppkey").distinct()
     subject = F.concat_ws("/", "p_type", "p_brand")
-    types = t.part.select(subject.alias("subject_type")).distinct()
-    required = expand_over(schools, types, max_rows=10_000, what="subject types")
+    types = t.part.select(subject.alias("subject_type")).distinct().agg(F.collect_list("subject_type")).scalar()
     offered = t.lineitem.select("l_suppkey", "l_partkey") \
-        .join(t.part.select(F.col("p_partkey").alias("l_partkey"), subject.alias("subject_type")), "l_partkey") \
-        .select("l_suppkey", "subject_type").distinct()
-    return required.join(offered, ["l_suppkey", "subject_type"], "left_anti") \
-        .select(F.col("l_suppkey").alias("school"), "subject_type")
+        .join(t.part.select(F.col("p_partkey").alias("l_partkey"), subject.alias("subject_type")), "l_partkey", "left") \
+        .groupBy(F.col("l_suppkey").alias("school"), "subject_type").agg(F.count(F.lit(1)).alias("n"))
+    return offered.groupBy("school").agg(F.collect_list("subject_type").alias("offered")) \
+        .select("school", F.explode(F.array_except(types, F.col("offered"))).alias("subject_type"))
 
 
 # --- audit: run / step logs of the three customer-dimension runs -------------------

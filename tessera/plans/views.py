@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 # segment rotation used by the second one.
 DAY1, DAY2, DAY3 = "1995-01-01", "1997-01-01", "1999-01-01"
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-NEW_KEY_OFFSET = 1_000_000
 
 CUSTOMER_KEY = ["c_custkey"]
 CUSTOMER_TRACKED = ["c_name", "c_nationkey", "c_mktsegment"]
@@ -32,19 +31,26 @@ def _rotate(col):
     return out.otherwise(col)
 
 
+def first_supplier(lineitem: DataFrame, order: str, supplier: str) -> DataFrame:
+    """One row per order that has lines: the supplier on its first line."""
+    return lineitem.groupBy(F.col("l_orderkey").alias(order)).agg(
+        F.min(F.struct("l_linenumber", "l_suppkey"))["l_suppkey"].alias(supplier))
+
+
 def customer_day1(customer: DataFrame) -> DataFrame:
     return customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
 
 
 def customer_day2(customer: DataFrame) -> DataFrame:
-    """Segments rotate for every 7th key; every 13th key gains a new twin key."""
+    """Segments rotate for every 7th key; every 13th key gains a twin
+    under a negative key, which no customer has at any size."""
     base = customer_day1(customer)
     k = F.col("c_custkey")
     changed = base.select("c_custkey", "c_name", "c_nationkey",
                           F.when(k % 7 == 0, _rotate(F.col("c_mktsegment")))
                            .otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
     new = (base.where(k % 13 == 0)
-               .select((k + NEW_KEY_OFFSET).alias("c_custkey"),
+               .select((-k - 1).alias("c_custkey"),
                        F.concat(F.lit("New#"), k.cast("string")).alias("c_name"),
                        "c_nationkey", "c_mktsegment"))
     return changed.unionByName(new)
@@ -78,7 +84,7 @@ snap2 AS (
          CASE WHEN c_custkey % 7 = 0 THEN {_rotate_sql('c_mktsegment')} ELSE c_mktsegment END AS c_mktsegment
   FROM snap1
   UNION ALL
-  SELECT c_custkey + {NEW_KEY_OFFSET}, 'New#' || CAST(c_custkey AS VARCHAR), c_nationkey, c_mktsegment
+  SELECT -c_custkey - 1, 'New#' || CAST(c_custkey AS VARCHAR), c_nationkey, c_mktsegment
   FROM snap1 WHERE c_custkey % 13 = 0
 ),
 snap3 AS (

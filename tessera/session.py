@@ -7,7 +7,9 @@ always win.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,19 +56,27 @@ def configure(spark: SparkSession) -> SparkSession:
     for k, v in SESSION_DEFAULTS.items():
         if conf.get(k, None) is None:
             conf.set(k, v)
-    checkpoint_dir(spark)
+    if _is_local(spark):
+        checkpoint_dir(spark)
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process, so a local folder is shared."""
+    master = getattr(spark.sparkContext, "master", "local")
+    return master == "local" or master.startswith("local[")
+
+
 _SCRATCH: dict = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS/object store) folder at submit time; only
-    when nothing is set (local tests) is one scratch folder created per
-    SparkContext. ``spark.checkpoint.dir`` is a core setting that cannot be
+    A cluster names a shared (HDFS/object store) folder at submit time. If
+    nothing is set, a local master gets one scratch folder per SparkContext,
+    removed when the process ends; any other master raises, as its executors
+    could not read each other's files. ``spark.checkpoint.dir`` is a core setting that cannot be
     changed at run time, so the fallback is registered with
     ``setCheckpointDir`` instead.
     """
@@ -74,9 +84,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if path:
         return path
+    if not _is_local(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     key = id(spark.sparkContext)
     if key not in _SCRATCH:
         _SCRATCH[key] = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
+        atexit.register(shutil.rmtree, _SCRATCH[key], ignore_errors=True)
         spark.sparkContext.setCheckpointDir(_SCRATCH[key])
     return _SCRATCH[key]
 

@@ -1,16 +1,8 @@
-"""Join helpers: bounded collection, calendar fan-out, OR-join split."""
+"""Join helpers: calendar fan-out, OR-join split."""
 
-import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import bounded_broadcast, expand_over, or_join_terms, small_rows
-
-
-def test_small_rows_refuses_unbounded(spark):
-    df = spark.range(50)
-    assert len(small_rows(df, 50)) == 50
-    with pytest.raises(ValueError):
-        small_rows(df, 49)
+from tessera.operators.joins import expand_over, or_join_terms
 
 
 def test_expand_over_and_empty_table(spark):
@@ -29,9 +21,12 @@ def test_or_join_split_equals_or_predicate(spark):
     assert split == direct
 
 
-def test_bounded_broadcast_respects_limit(spark):
-    small = bounded_broadcast(spark.range(10), max_rows=100)
-    big = bounded_broadcast(spark.range(1000), max_rows=100)
-    plan_small = spark.range(5).join(small, "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan_small
-    assert big.count() == 1000
+def test_a_calendar_of_any_length(spark):
+    """20,000 terms, global ones and ones of a school: no cap, no join of all pairs."""
+    people = spark.createDataFrame([(1, 10), (2, 20)], "p long, school long")
+    cal = spark.range(20_000).select(F.col("id").alias("term"), F.when(F.col("id") % 2 == 1, F.lit(10)).cast("long").alias("cal_school"))
+    assert expand_over(people, cal).count() == 40_000
+    out = or_join_terms(people, cal, "school", "cal_school")
+    assert {r["p"]: r["count"] for r in out.groupBy("p").count().collect()} == {1: 20_000, 2: 10_000}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

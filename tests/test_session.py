@@ -43,3 +43,24 @@ def test_fallback_when_unset_uses_set_checkpoint_dir():
     s = Session()
     first, second = checkpoint_dir(s), checkpoint_dir(s)
     assert first == second and calls == [first] and first.startswith("/tmp/tessera-ckpt-")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    import pytest
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())
