@@ -35,24 +35,19 @@ def load_fact_fallback(flat: DataFrame, dims: list[dict], date_col: str,
     version. Rows that resolve neither way are dropped here and reported by
     ``unresolved``. Adds ``resolution`` = 'ASOF' | 'EARLIEST'.
     """
-    asof = flat
-    for d in dims:
-        asof = asof_version(asof, d["dim"], d["fact_key"], d["dim_key"], date_col,
-                            d["take"], d["prefix"], closed=closed)
-    ok = None
-    for d in dims:
-        c = F.col(f"{d['prefix']}_{d['take'][0]}").isNotNull()
-        ok = c if ok is None else ok & c
-    resolved = asof.where(ok).withColumn("resolution", F.lit("ASOF"))
-    missing = asof.where(~ok).select(*flat.columns)
+    out, ok, known = flat, F.lit(True), F.lit(True)
     for d in dims:
         first = earliest_version(d["dim"], d["dim_key"], d["take"])
-        first = first.select(F.col(d["dim_key"]).alias(f"{d['prefix']}__key"),
-                             *[F.col(c).alias(f"{d['prefix']}_{c}") for c in d["take"]])
-        missing = (missing.join(first, F.col(d["fact_key"]) == F.col(f"{d['prefix']}__key"))
-                          .drop(f"{d['prefix']}__key"))
-    fallback = missing.withColumn("resolution", F.lit("EARLIEST"))
-    return resolved.unionByName(fallback)
+        first = first.select(F.col(d["dim_key"]).alias(f"{d['prefix']}__first_key"),
+                             *[F.col(c).alias(f"{d['prefix']}__first_{c}") for c in d["take"]])
+        # Both joins are on the fact key: the fact is shuffled once per dim.
+        out = asof_version(out, d["dim"], d["fact_key"], d["dim_key"], date_col, d["take"], d["prefix"], closed=closed)
+        out = out.join(first, F.col(d["fact_key"]) == F.col(f"{d['prefix']}__first_key"), "left")
+        ok = ok & F.col(f"{d['prefix']}_{d['take'][0]}").isNotNull()
+        known = known & F.col(f"{d['prefix']}__first_key").isNotNull()
+    taken = [F.when(ok, F.col(f"{d['prefix']}_{c}")).otherwise(F.col(f"{d['prefix']}__first_{c}")).alias(f"{d['prefix']}_{c}")
+             for d in dims for c in d["take"]]
+    return out.where(ok | known).select(*flat.columns, *taken, F.when(ok, "ASOF").otherwise("EARLIEST").alias("resolution"))
 
 
 def load_fact_earliest(flat: DataFrame, dims: list[dict]) -> DataFrame:

@@ -148,12 +148,11 @@ def admin_units_raw_sql(day: int = 1, name: str = "au_raw") -> str:
 # Learners and enrolments (customer, orders, events).
 # Seed lookups of the enrolment mart.
 # ---------------------------------------------------------------------------
-DISABILITY_TYPES = [(1, "Visual impairment"), (2, "Hearing loss"), (3, "Physical disability"),
-                    (4, "Intellectual disability"), (5, "Self care difficulty"), (6, "Speech impairment")]
-IDENTITY_TYPES = [(1, "National ID (NIN)"), (2, "Passport"), (3, "Student Pass")]
+DISABILITY_TYPES = [(1, "Visual impairment"), (2, "Hearing loss"), (3, "Walking difficulty"),
+                    (4, "Difficulty remembering"), (5, "Self care difficulty"), (6, "Communication difficulty")]
+IDENTITY_TYPES = [(1, "National ID"), (2, "Passport"), (3, "Student Pass"), (4, "Work permit"), (5, "Refugee card")]
 ENROLMENT_TYPES = [(1, "New"), (2, "Continuing"), (3, "Baseline")]
-DISABILITY_EVENT = {"error": 1, "click": 2, "purchase": 5}
-IDENTITY_EVENT = {"view": 1, "login": 2, "purchase": 3}
+IDENTITY_EVENT = {"view": 1, "login": 2, "purchase": 3, "click": 4, "error": 5}
 
 
 def enrolment_lookups(spark: SparkSession) -> dict[str, DataFrame]:
@@ -169,8 +168,16 @@ setting_identity_document_types AS (SELECT CAST(id AS BIGINT) AS id, name FROM {
 setting_enrolment_types AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(ENROLMENT_TYPES, ['id', 'name'])})"""
 
 
+def _country(day: int):
+    home = F.when(F.col("c_nationkey") % 2 == 0, F.col("c_nationkey").cast("long"))
+    if day == 2:
+        home = F.when(F.col("c_custkey") % 10 == 0, ((F.col("c_nationkey") + 1) % 25).cast("long")).otherwise(home)
+    return home
+
+
 def persons(customer: DataFrame, day: int = 1) -> DataFrame:
-    """Day 2 changes the surname of every 9th person."""
+    """Day 2 changes the surname of every 9th person (not a tracked column of
+    the learner dimension) and moves every 10th to another country (tracked)."""
     k = F.col("c_custkey")
     surname = F.split_part("c_name", F.lit("#"), F.lit(1))
     if day == 2:
@@ -185,19 +192,22 @@ def persons(customer: DataFrame, day: int = 1) -> DataFrame:
         F.when(k % 29 == 0, F.lit(None).cast("date"))
          .otherwise(F.make_date((1980 + k % 20).cast("int"), (1 + k % 12).cast("int"), (1 + k % 28).cast("int")))
          .alias("birth_date"),
-        F.when(F.col("c_nationkey") % 2 == 0, F.col("c_nationkey").cast("long")).alias("country_id"))
+        _country(day).alias("country_id"))
 
 
 def persons_sql(day: int = 1, name: str = "persons") -> str:
     sn = "split_part(c_name, '#', 1)" if day == 1 else \
         "CASE WHEN c_custkey % 9 = 0 THEN split_part(c_name, '#', 1) || '-M' ELSE split_part(c_name, '#', 1) END"
+    country = "CASE WHEN c_nationkey % 2 = 0 THEN CAST(c_nationkey AS BIGINT) END"
+    if day == 2:
+        country = f"CASE WHEN c_custkey % 10 = 0 THEN CAST((c_nationkey + 1) % 25 AS BIGINT) ELSE {country} END"
     return f"""{name} AS (SELECT c_custkey AS id, {sn} AS surname, 'L' || CAST(c_custkey % 97 AS VARCHAR) AS first_name,
   CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE split_part(c_name, '#', 2) END AS other_names,
   CASE WHEN c_custkey % 23 = 0 THEN NULL WHEN c_custkey % 10 = 1 THEN 'Male' WHEN c_custkey % 10 = 2 THEN 'female'
        WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender,
   CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE make_date(CAST(1980 + c_custkey % 20 AS INTEGER),
        CAST(1 + c_custkey % 12 AS INTEGER), CAST(1 + c_custkey % 28 AS INTEGER)) END AS birth_date,
-  CASE WHEN c_nationkey % 2 = 0 THEN CAST(c_nationkey AS BIGINT) END AS country_id
+  {country} AS country_id
 FROM customer)"""
 
 
@@ -251,9 +261,9 @@ def _event_code(mapping: dict):
 
 
 def learner_disabilities(events: DataFrame) -> DataFrame:
+    """One record per event; the types take turns."""
     return events.select(F.col("user_id").alias("learner_id"),
-                         _event_code(DISABILITY_EVENT).alias("disability_type_id")) \
-                 .where(F.col("disability_type_id").isNotNull())
+                         (F.col("event_id") % len(DISABILITY_TYPES) + 1).cast("long").alias("disability_type_id"))
 
 
 def identity_documents(events: DataFrame) -> DataFrame:
@@ -267,9 +277,8 @@ def _case_sql(mapping: dict) -> str:
     return "CASE event_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in mapping.items()) + " END"
 
 
-EVENTS_SRC_SQL = f"""learner_disabilities AS (SELECT learner_id, disability_type_id FROM (
-    SELECT user_id AS learner_id, CAST({_case_sql(DISABILITY_EVENT)} AS BIGINT) AS disability_type_id FROM events) x
-  WHERE disability_type_id IS NOT NULL),
+EVENTS_SRC_SQL = f"""learner_disabilities AS (SELECT user_id AS learner_id, CAST(event_id % {len(DISABILITY_TYPES)} + 1 AS BIGINT) AS disability_type_id
+  FROM events),
 identity_documents AS (SELECT person_id, identity_type_id, document_id FROM (
     SELECT user_id AS person_id, CAST({_case_sql(IDENTITY_EVENT)} AS BIGINT) AS identity_type_id,
            'D' || CAST(event_id AS VARCHAR) AS document_id FROM events) x
@@ -371,8 +380,13 @@ setting_teacher_professional_qualifications AS (SELECT CAST(id AS BIGINT) AS id,
 
 
 def teachers_src(part: DataFrame, day: int = 1) -> DataFrame:
-    """persons + teachers in one frame (person_id = part key + offset)."""
+    """persons + teachers in one frame (person_id = part key + offset). Day 2
+    renumbers every 7th teacher (not tracked) and changes the type of every
+    9th (tracked)."""
     k = F.col("p_partkey")
+    kind = F.col("p_size") % 3 + 1
+    if day == 2:
+        kind = F.when(k % 9 == 0, (F.col("p_size") + 1) % 3 + 1).otherwise(kind)
     ipps = F.when(k % 6 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("IPPS"), k.cast("string")))
     if day == 2:
         ipps = F.when(k % 7 == 0, F.concat(F.lit("IPPS-N"), k.cast("string"))).otherwise(ipps)
@@ -383,7 +397,7 @@ def teachers_src(part: DataFrame, day: int = 1) -> DataFrame:
         F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("other_names"),
         F.when(k % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
         F.make_date((1960 + k % 35).cast("int"), (1 + k % 12).cast("int"), (1 + k % 28).cast("int")).alias("birth_date"),
-        (F.col("p_size") % 3 + 1).cast("long").alias("teacher_type_id"),
+        kind.cast("long").alias("teacher_type_id"),
         (F.col("p_size") % 5 + 1).cast("long").alias("qualification_id"),
         ipps.alias("ipps_number"),
         F.when(k % 4 == 0, F.lit(None).cast("boolean")).otherwise(F.col("p_retailprice") > 1500)
@@ -391,6 +405,7 @@ def teachers_src(part: DataFrame, day: int = 1) -> DataFrame:
 
 
 def teachers_src_sql(day: int = 1, name: str = "teachers_src") -> str:
+    kind = "p_size % 3 + 1" if day == 1 else "CASE WHEN p_partkey % 9 = 0 THEN (p_size + 1) % 3 + 1 ELSE p_size % 3 + 1 END"
     ipps = "CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE 'IPPS' || CAST(p_partkey AS VARCHAR) END"
     if day == 2:
         ipps = f"CASE WHEN p_partkey % 7 = 0 THEN 'IPPS-N' || CAST(p_partkey AS VARCHAR) ELSE {ipps} END"
@@ -398,7 +413,7 @@ def teachers_src_sql(day: int = 1, name: str = "teachers_src") -> str:
   split_part(p_name, ' ', 1) AS first_name, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_brand END AS other_names,
   CASE WHEN p_partkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
   make_date(CAST(1960 + p_partkey % 35 AS INTEGER), CAST(1 + p_partkey % 12 AS INTEGER), CAST(1 + p_partkey % 28 AS INTEGER)) AS birth_date,
-  CAST(p_size % 3 + 1 AS BIGINT) AS teacher_type_id, CAST(p_size % 5 + 1 AS BIGINT) AS qualification_id,
+  CAST({kind} AS BIGINT) AS teacher_type_id, CAST(p_size % 5 + 1 AS BIGINT) AS qualification_id,
   {ipps} AS ipps_number,
   CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_retailprice > 1500 END AS is_on_government_payroll
 FROM part)"""
@@ -448,16 +463,19 @@ setting_non_teaching_staff_roles AS (SELECT CAST(id AS BIGINT) AS id, name, CAST
 
 def nts_src(part: DataFrame, lineitem: DataFrame, day: int = 1) -> DataFrame:
     """non_teaching_staff + person fields; current school = smallest supplier
-    shipping the part. Day 2 moves every 5th staff member to role 1."""
+    shipping the part. Day 2 moves every 5th staff member to role 1 (tracked)
+    and renames every 8th (not tracked)."""
     k = F.col("p_partkey")
     first_school = lineitem.groupBy(F.col("l_partkey").alias("p_partkey")) \
         .agg(F.min("l_suppkey").alias("current_school_id"))
     role = (F.col("p_size") % 6 + 1)
+    surname = F.split_part("p_name", F.lit(" "), F.lit(1))
     if day == 2:
+        surname = F.when(k % 8 == 0, F.concat(surname, F.lit("-N"))).otherwise(surname)
         role = F.when(k % 5 == 0, F.lit(1)).otherwise(role)
     return part.join(first_school, "p_partkey", "left").select(
         (k + NTS_OFFSET).alias("person_id"),
-        F.split_part("p_name", F.lit(" "), F.lit(1)).alias("surname"),
+        surname.alias("surname"),
         F.col("p_brand").alias("first_name"),
         F.when(k % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("gender"),
         F.when(k % 13 == 0, F.lit(None).cast("date"))
@@ -470,7 +488,10 @@ def nts_src(part: DataFrame, lineitem: DataFrame, day: int = 1) -> DataFrame:
 
 def nts_src_sql(day: int = 1, name: str = "nts_src") -> str:
     role = "p.p_size % 6 + 1" if day == 1 else "CASE WHEN p.p_partkey % 5 = 0 THEN 1 ELSE p.p_size % 6 + 1 END"
-    return f"""{name} AS (SELECT p.p_partkey + {NTS_OFFSET} AS person_id, split_part(p.p_name, ' ', 1) AS surname,
+    surname = "split_part(p.p_name, ' ', 1)"
+    if day == 2:
+        surname = f"CASE WHEN p.p_partkey % 8 = 0 THEN {surname} || '-N' ELSE {surname} END"
+    return f"""{name} AS (SELECT p.p_partkey + {NTS_OFFSET} AS person_id, {surname} AS surname,
   p.p_brand AS first_name, CASE WHEN p.p_partkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender,
   CASE WHEN p.p_partkey % 13 = 0 THEN NULL ELSE make_date(CAST(1970 + p.p_partkey % 30 AS INTEGER),
        CAST(1 + p.p_partkey % 12 AS INTEGER), 15) END AS birth_date,
@@ -482,13 +503,12 @@ FROM part p LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS current_school_id FRO
 
 
 def nts_employees(lineitem: DataFrame) -> DataFrame:
-    """Employee records: one per (staff, school) that ships the part on a
-    line >= 5, last updated on the latest such shipment."""
-    li = lineitem.where(F.col("l_linenumber") >= 5)
-    return li.groupBy((F.col("l_partkey") + NTS_OFFSET).alias("person_id"), F.col("l_suppkey").alias("school_id")) \
+    """Employee records: one per (staff, school) that ships the part, last
+    updated on the latest shipment."""
+    return lineitem.groupBy((F.col("l_partkey") + NTS_OFFSET).alias("person_id"), F.col("l_suppkey").alias("school_id")) \
              .agg(F.to_date(F.min("l_shipdate")).alias("date_created"), F.to_date(F.max("l_shipdate")).alias("date_updated"))
 
 
 NTS_EMPLOYEES_SQL = f"""nts_employees AS (SELECT l_partkey + {NTS_OFFSET} AS person_id, l_suppkey AS school_id,
   CAST(min(l_shipdate) AS DATE) AS date_created, CAST(max(l_shipdate) AS DATE) AS date_updated
-  FROM lineitem WHERE l_linenumber >= 5 GROUP BY 1, 2)"""
+  FROM lineitem GROUP BY 1, 2)"""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,27 +14,39 @@ from tessera.operators.dedupe import pick_one
 from tessera.operators.facts import load_fact_fallback
 from tessera.session import materialize
 
-# Identity-document and disability patterns (case-folded LIKE).
-IDENTITY_PATTERNS = {"nin": "%NIN%", "passport_no": "%PASSPORT%"}
+# Identity-document and disability patterns (case-folded LIKE,
+# any of a list), and the columns whose change opens a learner version.
+IDENTITY_PATTERNS = {
+    "nin": ["%NATIONAL%", "%NIN%"],
+    "passport_no": ["%PASSPORT%"],
+    "student_pass_no": ["%STUDENT%PASS%"],
+    "work_permit_no": ["%WORK%PERMIT%"],
+    "refugee_id": ["%REFUGEE%"],
+}
 DISABILITY_PATTERNS = {
-    "is_visually_impaired": "%VISUAL%",
-    "is_hearing_impaired": "%HEAR%",
-    "is_physically_disabled": "%PHYSICAL%",
-    "is_intellectually_disabled": "%INTELLECT%",
-    "has_self_care_difficulty": "%SELF%CARE%",
-    "is_speech_impaired": "%SPEECH%",
+    "is_visual_yn": ["%VISUAL%"],
+    "is_hearing_yn": ["%HEARING%"],
+    "is_walking_yn": ["%WALK%", "%MOBIL%"],
+    "is_self_care_yn": ["%SELF%CARE%"],
+    "is_remembering_yn": ["%REMEMBER%", "%CONCENTRAT%", "%COGNIT%"],
+    "is_communication_yn": ["%COMMUNIC%"],
 }
-LEARNER_TRACKED = ["surname", "given_name", "gender", "birth_date", "nationality", "nin", "lin",
-                   "orphan_status", "is_visually_impaired", "has_multiple_disabilities"]
+LEARNER_TRACKED = ["gender", "nationality", "nin", "orphan_status", *DISABILITY_PATTERNS, "has_multiple_disabilities"]
+LEARNER_EXTRA = ["surname", "given_name", "birth_date", "lin"]
 FACT_KEY = ["learner_id", "school_id", "academic_year", "term"]
 
 
+def like_any(col, patterns: list[str]):
+    """True where ``col`` matches any of the LIKE patterns."""
+    return functools.reduce(operator.or_, [col.like(p) for p in patterns])
+
+
 def learners_raw(persons: DataFrame, learners: DataFrame, docs: DataFrame, doc_types: DataFrame,
                  countries: DataFrame) -> DataFrame:
     """M-E0a: live learners with names, nationality and pivoted identity documents."""
     t = F.broadcast(doc_types.select(F.col("id").alias("identity_type_id"), F.upper("name").alias("__t")))
     piv = docs.join(t, "identity_type_id").groupBy("person_id").agg(
-        *[F.max(F.when(F.col("__t").like(p), F.col("document_id"))).alias(n) for n, p in IDENTITY_PATTERNS.items()])
+        *[F.max(F.when(like_any(F.col("__t"), p), F.col("document_id"))).alias(n) for n, p in IDENTITY_PATTERNS.items()])
     live = learners.where(F.col("deleted_at").isNull())
     c = countries.select(F.col("n_nationkey").cast("long").alias("country_id"), F.col("n_name").alias("__country"))
     x = (persons.join(live, persons["id"] == live["person_id"])
@@ -46,7 +61,7 @@ def disability_flags(disabilities: DataFrame, types: DataFrame) -> DataFrame:
     """AGG-05: one BOOL_OR flag per pattern and learner (a partial aggregate)."""
     t = F.broadcast(types.select(F.col("id").alias("disability_type_id"), F.upper("name").alias("__t")))
     return disabilities.join(t, "disability_type_id").groupBy("learner_id").agg(
-        *[F.bool_or(F.col("__t").like(p)).alias(n) for n, p in DISABILITY_PATTERNS.items()])
+        *[F.bool_or(like_any(F.col("__t"), p)).alias(n) for n, p in DISABILITY_PATTERNS.items()])
 
 
 def flatten_enrolments(enrol: DataFrame, learners_raw_: DataFrame, schools_raw: DataFrame,
@@ -98,10 +113,10 @@ def flatten_enrolments(enrol: DataFrame, learners_raw_: DataFrame, schools_raw:
 def learner_dim(dim: DataFrame | None, flat: DataFrame, as_of) -> DataFrame:
     """M-E2: one row per learner (oldest age first, then the latest enrolment),
     merged as SCD2; each run's dimension is stored once."""
-    snap = pick_one(flat, ["learner_id"], [("age", "desc", "last"), ("enrolment_id", "desc")], LEARNER_TRACKED)
+    snap = pick_one(flat, ["learner_id"], [("age", "desc", "last"), ("enrolment_id", "desc")], LEARNER_TRACKED + LEARNER_EXTRA)
     if dim is None:
-        dim = scd2.empty_dim(flat.sparkSession, snap, ["learner_id"] + LEARNER_TRACKED)
-    return materialize(scd2.scd2_merge(dim, snap, ["learner_id"], LEARNER_TRACKED, as_of), "learner_dim")
+        dim = scd2.empty_dim(flat.sparkSession, snap, ["learner_id"] + LEARNER_TRACKED + LEARNER_EXTRA)
+    return materialize(scd2.scd2_merge(dim, snap, ["learner_id"], LEARNER_TRACKED, as_of, extra=LEARNER_EXTRA), "learner_dim")
 
 
 def enrolment_fact(flat: DataFrame, learners: DataFrame, schools: DataFrame, closed: bool = True) -> DataFrame:
@@ -109,7 +124,7 @@ def enrolment_fact(flat: DataFrame, learners: DataFrame, schools: DataFrame, clo
     all-or-nothing earliest fallback, one row per conflict key (first
     enrolment id wins, as with insert-if-absent in id order)."""
     f = flat.withColumn("term_start_date", rules.term_start_date(F.col("academic_year"), F.col("term"))) \
-            .withColumn("school_key", F.col("school_id").cast("int"))
+            .withColumn("school_key", F.col("school_id").cast("long"))
     dims = [dict(dim=learners, fact_key="learner_id", dim_key="learner_id", take=["effective_date"], prefix="lv"),
             dict(dim=schools, fact_key="school_key", dim_key="source_id", take=["effective_date"], prefix="sv")]
     loaded = load_fact_fallback(f, dims, "term_start_date", closed=closed)

@@ -12,7 +12,9 @@ from tessera.operators.facts import load_fact_earliest
 from tessera.operators.joins import expand_over
 from tessera.session import materialize
 
-NTS_TRACKED = ["surname", "given_name", "gender", "staff_category", "staff_role", "school_id"]
+# The columns whose change opens a staff version; the others are carried.
+NTS_TRACKED = ["gender", "staff_category", "staff_role"]
+NTS_EXTRA = ["surname", "given_name", "school_id"]
 FACT_KEY = ["person_id", "school_id", "academic_year", "term"]
 
 
@@ -54,15 +56,15 @@ def flatten_nts(raw: DataFrame, calendar: DataFrame, years: DataFrame, periods:
 
 def nts_dim(dim: DataFrame | None, flat: DataFrame, as_of) -> DataFrame:
     """M-N2: one row per staff member (latest term), SCD2 merge."""
-    snap = pick_one(flat, ["person_id"], [("term_start_date", "desc", "last"), ("school_id", "desc")], NTS_TRACKED)
+    snap = pick_one(flat, ["person_id"], [("term_start_date", "desc", "last"), ("school_id", "desc")], NTS_TRACKED + NTS_EXTRA)
     if dim is None:
-        dim = scd2.empty_dim(flat.sparkSession, snap, ["person_id"] + NTS_TRACKED)
-    return materialize(scd2.scd2_merge(dim, snap, ["person_id"], NTS_TRACKED, as_of), "nts_dim")
+        dim = scd2.empty_dim(flat.sparkSession, snap, ["person_id"] + NTS_TRACKED + NTS_EXTRA)
+    return materialize(scd2.scd2_merge(dim, snap, ["person_id"], NTS_TRACKED, as_of, extra=NTS_EXTRA), "nts_dim")
 
 
 def nts_fact(flat: DataFrame, staff: DataFrame, schools: DataFrame) -> DataFrame:
     """M-N3 / FCT-03: earliest staff and school versions (no as-of attempt)."""
-    f = flat.withColumn("school_key", F.col("school_id").cast("int"))
+    f = flat.withColumn("school_key", F.col("school_id").cast("long"))
     dims = [dict(dim=staff, fact_key="person_id", dim_key="person_id", take=["effective_date"], prefix="nv"),
             dict(dim=schools, fact_key="school_key", dim_key="source_id", take=["effective_date"], prefix="sv")]
     out = load_fact_earliest(f, dims)

@@ -56,15 +56,16 @@ def flatten_schools(raw: DataFrame, subtypes: dict[str, DataFrame], lookups: dic
     # D-09b: first level whose source id is a current admin unit.
     live = (admin_dim.where(F.col("current_status"))
             .select(F.col("source_id").alias("__sid")).distinct())
-    verified = []
-    for lvl in ADMIN_LEVELS:
-        x = x.join(live.withColumn(f"__ok_{lvl}", F.lit(True)), F.col(lvl) == F.col("__sid"), "left").drop("__sid")
-        verified.append(F.when(F.col(f"__ok_{lvl}"), F.col(lvl)))
+    # All levels of a school are candidates of one join; the first that is live wins.
+    candidates = x.select(F.col("id").alias("__school"), F.posexplode(F.array(*ADMIN_LEVELS)).alias("__level", "__cand"))
+    best = (candidates.join(live, F.col("__cand") == F.col("__sid")).groupBy("__school")
+            .agg(F.min(F.struct("__level", "__cand"))["__cand"].alias("__unit")))
+    x = x.join(best, F.col("id") == F.col("__school"), "left")
     trip = lambda n: (f"{n}_sid", f"{n}_day", f"{n}_board")
     flat = x.select(
-        F.col("id").cast("int").alias("source_id"),
+        F.col("id").alias("source_id"),
         "name",
-        F.coalesce(*verified).alias("admin_unit_id"),
+        F.col("__unit").alias("admin_unit_id"),
         "emis_number",
         F.substring(F.coalesce("st_display", "st_name"), 1, 50).alias("school_type"),
         F.substring("os_name", 1, 20).alias("operational_status"),

@@ -13,8 +13,9 @@ from tessera.operators.facts import load_fact_fallback
 from tessera.operators.joins import or_join_terms
 from tessera.session import materialize
 
-TEACHER_TRACKED = ["surname", "given_name", "gender", "teacher_type", "qualification", "ipps_number",
-                   "is_on_government_payroll", "discipline"]
+# The columns whose change opens a teacher version; the others are carried.
+TEACHER_TRACKED = ["gender", "qualification", "teacher_type", "is_on_government_payroll", "discipline"]
+TEACHER_EXTRA = ["surname", "given_name", "ipps_number"]
 FACT_KEY = ["person_id", "school_id", "academic_year", "term"]
 
 
@@ -75,16 +76,16 @@ def flatten_teachers(raw: DataFrame, school: DataFrame, calendar: DataFrame, yea
 def teacher_dim(dim: DataFrame | None, flat: DataFrame, as_of) -> DataFrame:
     """M-T2: one row per teacher (latest term, then school), SCD2 merge."""
     snap = pick_one(flat, ["person_id"], [("term_start_date", "desc", "last"), ("school_id", "desc")],
-                    TEACHER_TRACKED)
+                    TEACHER_TRACKED + TEACHER_EXTRA)
     if dim is None:
-        dim = scd2.empty_dim(flat.sparkSession, snap, ["person_id"] + TEACHER_TRACKED)
-    return materialize(scd2.scd2_merge(dim, snap, ["person_id"], TEACHER_TRACKED, as_of), "teacher_dim")
+        dim = scd2.empty_dim(flat.sparkSession, snap, ["person_id"] + TEACHER_TRACKED + TEACHER_EXTRA)
+    return materialize(scd2.scd2_merge(dim, snap, ["person_id"], TEACHER_TRACKED, as_of, extra=TEACHER_EXTRA), "teacher_dim")
 
 
 def hr_fact(flat: DataFrame, teachers: DataFrame, schools: DataFrame, closed: bool = True) -> DataFrame:
     """M-T3: as-of teacher and school versions at the term start with the
     all-or-nothing earliest fallback; one row per conflict key."""
-    f = flat.withColumn("school_key", F.col("school_id").cast("int"))
+    f = flat.withColumn("school_key", F.col("school_id").cast("long"))
     dims = [dict(dim=teachers, fact_key="person_id", dim_key="person_id", take=["effective_date"], prefix="tv"),
             dict(dim=schools, fact_key="school_key", dim_key="source_id", take=["effective_date"], prefix="sv")]
     loaded = load_fact_fallback(f, dims, "term_start_date", closed=closed)

@@ -15,6 +15,7 @@ from tessera.operators.keys import assign_surrogate
 from tessera.operators.merge import insert_if_absent, upsert
 from tessera.plans import views as V
 from tessera.plans.registry import Tables, query
+from tessera.session import materialize
 
 DIM_COLS = V.CUSTOMER_KEY + V.CUSTOMER_TRACKED + scd2.CONTROL
 
@@ -29,6 +30,8 @@ def customer_dim(spark: SparkSession, base: str, days: int = 3, replay: bool = F
     for i in range(days):
         dim = scd2.scd2_merge(dim, snaps[i], V.CUSTOMER_KEY, V.CUSTOMER_TRACKED, dates[i],
                               reason_rules=V.CUSTOMER_RULES, initial_fields="ALL")
+        if i < days - 1 or replay:  # a run's version is stored: the next merge reads it, not its history of merges
+            dim = materialize(dim, f"customer_dim_{i + 1}")
     if replay:
         dim = scd2.scd2_merge(dim, snaps[days - 1], V.CUSTOMER_KEY, V.CUSTOMER_TRACKED,
                               dates[days - 1], reason_rules=V.CUSTOMER_RULES, initial_fields="ALL")
@@ -206,7 +209,7 @@ def nation_dim(spark, base):
                    .otherwise(F.col("n_name")).alias("n_name"), "n_regionkey")
     dim = scd2.empty_dim(spark, s1, ["n_nationkey", "n_name", "n_regionkey"])
     for snap, day in zip([s1, s2], NATION_DAYS):
-        dim = scd2.scd2_merge(dim, snap, ["n_nationkey"], ["n_name", "n_regionkey"], day)
+        dim = materialize(scd2.scd2_merge(dim, snap, ["n_nationkey"], ["n_name", "n_regionkey"], day), "nation_dim")
     return dim
 
 
