@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import rules
 from tessera.plans import views as V
+from tessera.plans.sqlfrag import given_name_sql
 from tessera.plans.registry import Tables, query
 
 
@@ -133,7 +134,7 @@ def q_null_semantics(spark, base):
   CASE WHEN birth IS NOT NULL THEN CAST(year(DATE '{V.DAY3}') - year(birth) AS INTEGER) END AS age,
   CASE WHEN mother IS TRUE AND father IS TRUE THEN 'BOTH DECEASED' WHEN mother IS TRUE THEN 'MOTHER DECEASED'
        WHEN father IS TRUE THEN 'FATHER DECEASED' ELSE 'NOT APPLICABLE' END AS orphan_status,
-  trim(coalesce(first_name, '') || ' ' || coalesce(other_names, '')) AS given_name,
+  {given_name_sql('first_name', 'other_names')} AS given_name,
   coalesce(country, 'UGANDA') AS nationality,
   coalesce(own_payroll, school_payroll) AS on_payroll,
   coalesce(upper(type_name), 'CONTINUING') AS enrolment_type,

@@ -7,3 +7,19 @@ def rate_sql(n: str, d: str, scale: int = 100, digits: int = 2) -> str:
     p = 10 ** digits
     return (f"CASE WHEN ({d}) > 0 THEN CAST((CAST({n} AS HUGEINT) * {scale * p * 2} + ({d})) // (2 * ({d})) AS DOUBLE)"
             f" / {p} END")
+
+
+def year_label_sql(name: str, day: str) -> str:
+    """The number that the digits of a year's name make up, else the date's year."""
+    digits = f"array_to_string(regexp_extract_all({name}, '[0-9]'), '')"
+    return f"coalesce(TRY_CAST({digits} AS INTEGER), CAST(date_part('year', {day}) AS INTEGER))"
+
+
+def term_label_sql(name: str) -> str:
+    """A period's label: numbers by a lookup, names that are labels, else the first term."""
+    lookup = "MAP {" + ", ".join(f"'{n}': 'TERM {n}'" for n in (1, 2, 3)) + "}"
+    return f"coalesce({lookup}[{name}], CASE WHEN starts_with(upper({name}), 'TERM') THEN upper({name}) END, 'TERM 1')"
+
+
+def given_name_sql(first: str, other: str) -> str:
+    return f"trim(concat_ws(' ', {first}, {other}))"
