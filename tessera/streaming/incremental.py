@@ -2,20 +2,30 @@
 
 The source folder is read as a stream; ``trigger(availableNow=True)`` takes
 everything not yet processed and stops, so a nightly run is one bounded
-micro-batch sequence. Progress lives in the checkpoint location (exactly
-once across restarts), and each batch appends its rows plus a watermark row
-(max ``ts_col`` seen) to Parquet sinks.
+micro-batch sequence. Each batch writes its rows and one watermark row (max
+``ts_col`` seen) to folders named by the batch id, replacing what is there: a
+batch that is run again after a failure leaves the same files, so rows arrive
+exactly once.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def write_batch(df: DataFrame, epoch: int, ts_col: str, out_dir: str, watermark_dir: str) -> None:
+    """Store one micro-batch and its watermark under the batch id. The
+    watermark is read from the stored rows, so the source is read once."""
+    spark = df.sparkSession
+    path = f"{out_dir.rstrip('/')}/batch_id={epoch}"
+    df.write.mode("overwrite").parquet(path)
+    (spark.read.schema(df.schema).parquet(path)
+        .agg(F.max(ts_col).alias("watermark"), F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite").parquet(f"{watermark_dir.rstrip('/')}/batch_id={epoch}"))
+
+
 def run_incremental(spark: SparkSession, source_dir: str, schema: T.StructType, ts_col: str,
                     out_dir: str, watermark_dir: str, checkpoint: str,
                     min_ts: str | None = None) -> None:
@@ -26,10 +36,7 @@ def run_incremental(spark: SparkSession, source_dir: str, schema: T.StructType,
         stream = stream.where(F.col(ts_col) >= F.lit(min_ts).cast(schema[ts_col].dataType))
 
     def batch(df: DataFrame, epoch: int) -> None:
-        df.write.mode("append").parquet(out_dir)
-        (df.agg(F.max(ts_col).alias("watermark"), F.count(F.lit(1)).alias("rows"))
-           .withColumn("batch_id", F.lit(epoch).cast("long"))
-           .write.mode("append").parquet(watermark_dir))
+        write_batch(df, epoch, ts_col, out_dir, watermark_dir)
 
     q = (stream.writeStream.foreachBatch(batch)
                .option("checkpointLocation", checkpoint)
@@ -39,7 +46,8 @@ def run_incremental(spark: SparkSession, source_dir: str, schema: T.StructType,
 
 def latest_watermark(spark: SparkSession, watermark_dir: str) -> DataFrame:
     """The newest watermark recorded (one row)."""
-    if not os.path.exists(watermark_dir):
+    path = spark._jvm.org.apache.hadoop.fs.Path(watermark_dir)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], "watermark timestamp_ntz, rows long, batch_id long")
     return spark.read.parquet(watermark_dir).agg(F.max("watermark").alias("watermark"),
                                                  F.sum("rows").alias("rows"))
