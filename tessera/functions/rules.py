@@ -268,3 +268,11 @@ def change_hash(cols: list, defaults: dict | None = None) -> Column:
     parts = [F.coalesce(_c(c).cast("string"), F.lit(defaults.get(c, "") if isinstance(c, str) else ""))
              for c in cols]
     return F.md5(F.concat_ws("|", *parts))
+
+
+def any_true(*flags) -> Column:
+    """D-32: at least one of the boolean columns is true (NULL counts as false)."""
+    out = F.lit(False)
+    for f in flags:
+        out = out | F.coalesce(_c(f), F.lit(False))
+    return out
