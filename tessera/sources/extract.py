@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import checkpoint_dir
+
 TEST_TABLES = ("region nation customer supplier part orders lineitem events documents "
                "embeddings pages benchmark labels conversations").split()
 
@@ -109,3 +111,12 @@ def write_version(df: DataFrame, root: str, table: str, partition_by: list[str]
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
+
+
+def append_rows(spark: SparkSession, name: str, batches: list[DataFrame]) -> DataFrame:
+    """SNK-02: append each batch to one log table in the shared folder and
+    read the whole log back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/logs/{name}-{uuid.uuid4().hex[:12]}"
+    for batch in batches:
+        batch.write.mode("append").parquet(path)
+    return spark.read.parquet(path)
