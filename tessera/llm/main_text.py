@@ -32,10 +32,13 @@ NESTING_TAGS = frozenset("""article aside blockquote body details dialog div dl
 menu nav ol search section table tbody td tfoot th thead tr ul""".split())
 MAIN_TAGS = frozenset("article main".split())
 SIDE_TAGS = frozenset("aside dialog footer form head menu nav search".split())
-SIDE_NAMES = re.compile(r"""(?ix)(?<![a-z])(ads?|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|notice|alert|popup|modal|
-overlay|newsletter|subscri\w*|share|sharing|social|comments?|comment-?list|respond|repl(?:y|ies)|disqus|discussion|sidebar|side-?bar|
-widget|related|recommend\w*|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|login|signup|sign-?in|search|pagination|
-pager|toolbar|copyright|complementary|contentinfo)(?![a-z])""")
+COMMENT_NAMES = r"comments?|comment-?list|respond|repl(?:y|ies)|disqus|discussion"
+SIDE_NAMES = re.compile(rf"""(?ix)(?<![a-z])(?<!with-)(?<!has-)(?<!no-)(ads?|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|
+notice|alert|popup|modal|overlay|newsletter|subscri\w*|share|sharing|social|{COMMENT_NAMES}|sidebar|side-?bar|widget|related|
+recommend\w*|menu|nav|navbar|navigation|breadcrumbs?|footer|login|signup|sign-?in|search|pagination|pager|toolbar|copyright|
+complementary|contentinfo)(?![a-z])""")
+COMMENTS = re.compile(rf"(?i)(?<![a-z])({COMMENT_NAMES})(?![a-z])")
+HEADERS = re.compile(r"(?i)(?<![a-z])(header|masthead)(?![a-z])")
 HIDDEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden|\bhidden\b|aria-hidden\s*=\s*[\"']?true")
 NAMING = re.compile(r"""(?is)\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
 TOKEN = re.compile(r"""<!--(?P<comment>)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
@@ -97,8 +100,13 @@ class _Page:
         if tag in NESTING_TAGS:
             named = " ".join(NAMING.findall(attrs))
             main = tag in MAIN_TAGS
-            side = tag in SIDE_TAGS or (tag == "header" and not self.main) or (
-                tag not in ("html", "body", "article", "main") and bool(named and SIDE_NAMES.search(named) or attrs and HIDDEN.search(attrs)))
+            if main:        # an article can be a reader's comment
+                side = bool(named and COMMENTS.search(named))
+            elif tag == "header" or named and HEADERS.search(named):
+                side = not self.main        # an article's own header belongs to it
+            else:
+                side = tag in SIDE_TAGS or (tag not in ("html", "body") and bool(
+                    named and SIDE_NAMES.search(named) or attrs and HIDDEN.search(attrs)))
             self.stack.append((tag, main, side))
             self.main += main
             self.side += side

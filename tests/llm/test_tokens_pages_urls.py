@@ -111,6 +111,19 @@ def test_blocks_of_odd_markup():
     assert len(texts("<div>" * 20_000 + "deep" + "</div>" * 20_000)) == 1
 
 
+def test_side_parts_of_an_article():
+    tree = main_text.trained_tree()
+    body = "<p>" + "Some words of the story that go on for a while and then end. " * 3 + "</p>"
+    text = lambda html: main_text.page_text(html, tree)
+    story = text(f"<main><article>{body}</article></main>")
+    assert story and text(f"<div class='with-sidebar'><article><div class='post-header'><h1>Title</h1></div>{body}</article></div>") == "Title\n\n" + story
+    for part in ("<article class='comment'><p>Nice story, thank you for writing it down.</p></article>", "<aside><p>Old news of last week here.</p></aside>",
+                 "<div id='user-comments'><div><p>I disagree with all of this story.</p></div></div>", "<div class='cookie-consent'>We use cookies on this site.</div>",
+                 "<form><label>Your name please</label><textarea>x</textarea></form>", "<div style='display:none'>Not to be seen by you</div>"):
+        assert text(f"<article>{body}</article>{part}") == story
+        assert text(f"{part}<article>{body}</article>") == story
+
+
 def test_pages_with_nulls_and_blocks(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", ""), (3, "u", "<nav><a href=x>menu</a></nav><p>" + "word " * 40 + "</p>"), (3, "u", "<p>x")],
                                   "page_id long, url string, html string")
