@@ -8,6 +8,7 @@ from tessera.operators import quality as Q
 from tessera.plans import views as V
 from tessera.plans.q_marts import enrolment_indicators, school_indicators, ENROLMENT_SQL
 from tessera.plans.q_warehouse import customer_dim
+from tessera.session import materialize
 from tessera.plans.registry import Tables, query
 
 _OPS = {"gt": ">", "ge": ">=", "eq": "=", "lt": "<", "le": "<="}
@@ -26,13 +27,19 @@ def check_sql(mart: str, name: str, count_sql: str, rules) -> str:
             f"ELSE 'INFO' END AS severity FROM ({count_sql}) AS x(n)")
 
 
+
+def _dim(spark, t):
+    """The customer dimension, stored once per query build for all checks."""
+    return t.step("customer_dim", lambda: materialize(customer_dim(spark, t._base, 3), "customer_dim"))
+
+
 DIM_ROWS_RULES = Q.FAIL_IF_EMPTY + [("lt", 80000, "WARN")]
 
 # Spark check builders and their SQL, keyed by the catalogue entry.
 
 
 def not_empty_checks(spark, t):
-    dim = customer_dim(spark, t._base, 3)
+    dim = _dim(spark, t)
     return Q.suite(Q.not_empty(dim.where("is_current"), "customer", "customer_dim_row_count", warn_below=80000),
                    Q.not_empty(t.lineitem, "lineitem", "lineitem_staged_rows"))
 
@@ -50,7 +57,7 @@ NULL_CHECKS = {
 
 
 def null_checks(spark, t):
-    dim = customer_dim(spark, t._base, 3).where("is_current")
+    dim = _dim(spark, t).where("is_current")
     return Q.count_checks(dim, "customer", {k: (F.expr(c), r) for k, (c, r) in NULL_CHECKS.items()})
 
 
@@ -60,7 +67,7 @@ NULLS_SQL = " UNION ALL ".join(
 
 
 def orphan_checks(spark, t):
-    dim = customer_dim(spark, t._base, 3)
+    dim = _dim(spark, t)
     return Q.suite(
         Q.orphan_count(t.orders, "o_custkey", dim, "c_custkey", "orders", "fact_orphan_customer",
                        parent_filter=F.col("is_current")),
@@ -82,7 +89,7 @@ ORPHANS_SQL = " UNION ALL ".join([
 
 
 def duplicate_checks(spark, t):
-    dim = customer_dim(spark, t._base, 3)
+    dim = _dim(spark, t)
     return Q.suite(
         Q.duplicate_count(dim.where("is_current"), ["c_custkey"], "customer", "duplicate_current_rows"),
         Q.duplicate_count(t.part, ["p_name"], "part", "duplicate_part_names", Q.WARN_IF_ANY),
@@ -102,7 +109,7 @@ DUPLICATES_SQL = " UNION ALL ".join([
 
 def variance_checks(spark, t):
     n = lambda df: df.agg(F.count(F.lit(1)).alias("n"))
-    dim = customer_dim(spark, t._base, 3)
+    dim = _dim(spark, t)
     loaded = t.orders.join(dim.where("is_current").select(F.col("c_custkey").alias("o_custkey")), "o_custkey")
     urgent = t.orders.where(F.col("o_orderpriority") != "1-URGENT")
     return Q.suite(Q.variance(n(loaded), n(t.orders), "orders", "fact_vs_staging_variance"),
@@ -162,7 +169,7 @@ RANGES_SQL = f"WITH {ENROLMENT_SQL}\n" + " UNION ALL ".join([
 
 
 def missing_checks(spark, t):
-    dim = customer_dim(spark, t._base, 3).where("is_current")
+    dim = _dim(spark, t).where("is_current")
     return Q.suite(
         Q.missing_in_fact(dim, "c_custkey", t.orders, "o_custkey", "customer", "dim_without_fact",
                           [("gt", 1000, "WARN")]),
