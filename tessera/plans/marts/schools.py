@@ -94,8 +94,9 @@ def admin_units_scd2(dim: DataFrame | None, raw: DataFrame, as_of) -> DataFrame:
 def schools_scd2(dim: DataFrame | None, flat: DataFrame, admin_dim: DataFrame, as_of) -> DataFrame:
     """M-S2: resolve the admin surrogate (left join: unresolved stays NULL,
     decision D25), then merge with the ordered reason rules."""
-    cur = admin_dim.where(F.col("current_status")).select(F.col("source_id").alias("__au"),
-                                                          F.col("id").alias("__au_id"))
+    # A source id that two unit types share resolves to one unit (D7): a school stays one row.
+    cur = admin_dim.where(F.col("current_status")).groupBy(F.col("source_id").alias("__au")).agg(
+        F.min("id").alias("__au_id"))
     snap = (flat.join(cur, F.col("admin_unit_id") == F.col("__au"), "left")
                 .withColumn("admin_unit_id", F.col("__au_id")).drop("__au", "__au_id"))
     if dim is None:
