@@ -80,11 +80,12 @@ def latest_before(probes: DataFrame, cands: DataFrame, probe_keys: list[str],
     kcols = [f"__k{i}" for i in range(len(probe_keys))]
     p = (probes.select(*[F.col(a).alias(b) for a, b in zip(probe_keys, kcols)],
                        _ordinal(F.col(probe_time), kind).alias("__o"))
+               .dropna(subset=kcols)    # a NULL key matches nothing: keep it out of the windows
                .distinct())
     c = (cands.select(*[F.col(a).alias(b) for a, b in zip(cand_keys, kcols)],
                       _ordinal(F.col(cand_time), kind).alias("__o"),
                       F.col(cand_time).alias("__t"), *[F.col(v) for v in values])
-              .where(F.col("__o").isNotNull())
+              .dropna(subset=[*kcols, "__o"])
               .groupBy(*kcols, "__o")
               .agg(F.max(F.struct(F.col("__o").alias("o"), F.col("__t").alias("t"),
                                   *[F.col(v) for v in values])).alias("__v")))
