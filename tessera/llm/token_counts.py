@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import BROADCAST_ROWS, Scratch, text_or_empty
 from tessera.llm.pieces import MARK, segments
 
-MEMO = 400_000
+MEMO = 200_000          # segments remembered per worker process
 CACHE_SCHEMA = "digest binary, n_tokens long"
 _NO_ID = -(2**63)
 
@@ -138,5 +138,6 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc
             chosen = rows.join(F.broadcast(wanted) if n_wanted <= broadcast_rows else wanted, "key", "left_semi")
         new = counted(chosen.select("digest", "text"), kind, model).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
         new.join(misses.select("digest"), "digest", "left_semi").write.parquet(f"{folder}/run-{uuid.uuid4().hex[:12]}")
-    return (keys.join(_stored(spark, folder), "digest")
+    counts = scratch.save(_stored(spark, folder), "counts")     # stored, so that the join can split a frequent text's rows
+    return (keys.join(counts, "digest")
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
