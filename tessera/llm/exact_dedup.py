@@ -99,6 +99,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     scratch = Scratch(docs.sparkSession, "exact")
     table = identities(docs, scratch, id_col, text_col, block, hash_of)
     groups = table.groupBy("n_blocks", "name").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    groups = scratch.save(groups, "groups")     # stored, so that the join can split a large group's rows
     return table.join(groups, ["n_blocks", "name"]).select(
         "doc_id", "keep_id", "group_size",
         F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), "text_sha256")
