@@ -52,7 +52,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_pieces and the piece ids of the whole text."""
     rows = docs.select("doc_id", "lang", "source", "text")
-    out = encoded(rows, read_model(public_tokenizers.path(PIECE_MODEL)))
+    out = encoded(rows, read_model(public_tokenizers.path(PIECE_MODEL)), keep_text=False)
     return out.select("doc_id", "lang", "source", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids")
 
 

@@ -21,8 +21,8 @@ import numpy as np
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 UNKNOWN_PENALTY = 10.0
-CELLS = 1 << 17         # characters of a batch of equal-length segments
-MEMO = 400_000          # segments remembered per worker process
+CELLS = 1 << 16         # characters of a batch of equal-length segments
+MEMO = 150_000          # segments remembered per worker process: about 40 MB
 
 _BASE = 0x9E3779B97F4A7C13
 _U = np.uint64

@@ -19,7 +19,7 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 
 from tessera.llm.pieces import MARK, vocabulary
 
-ROWS = 512   # texts handled at a time: more of them make longer batches of equal length
+ROWS = 256   # texts handled at a time: more of them make longer batches of equal length
 
 
 def read_model(path: str) -> bytes:
@@ -34,11 +34,13 @@ def _fresh(schema: StructType, *names: str) -> None:
         raise ValueError(f"the input already has columns {clash}: rename them first")
 
 
-def encoded(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "piece_ids") -> DataFrame:
-    """``docs`` with an array column of piece ids."""
+def encoded(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "piece_ids", keep_text: bool = True) -> DataFrame:
+    """``docs`` with an array column of piece ids; without ``keep_text`` the
+    text does not travel back from Python."""
     _fresh(docs.schema, ids_col)
     at = docs.columns.index(text_col)
-    schema = StructType([*docs.schema.fields, StructField(ids_col, ArrayType(IntegerType(), False), False)])
+    kept = [i for i in range(len(docs.columns)) if keep_text or i != at]
+    schema = StructType([*(docs.schema.fields[i] for i in kept), StructField(ids_col, ArrayType(IntegerType(), False), False)])
 
     def run(batches):
         vocab = vocabulary(model)
@@ -48,7 +50,7 @@ def encoded(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str
                 ids = vocab.encode_batch([t or "" for t in part.column(at).to_pylist()])
                 ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, ids_col])
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), lists], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
