@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch
+from tessera.llm.common import Scratch, maybe_broadcast
 
 
 def connected_components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
@@ -15,8 +15,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFr
     Each round takes every node's least label among itself and its neighbours,
     then the label of that label, so paths halve. All steps are joins and
     partially aggregated minima on fixed-width columns: a node with very many
-    neighbours is reduced before its rows are shuffled, and skewed joins are
-    split at run time. Null ends are ignored; no edges give no rows.
+    neighbours is reduced before its rows are shuffled. Labels are broadcast
+    while they are few, else joined by shuffles that are split when skewed. Null ends are ignored; no edges give no rows.
     """
     edges = edges.where("a is not null and b is not null and a <> b")
     both = scratch.save(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), f"{tag}-edges")
@@ -24,6 +24,7 @@ def connected_components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFr
                           .select("node", F.least("node", "m").alias("component")), f"{tag}-0")
     step = 0
     while True:
+        labels = maybe_broadcast(labels)
         near = (both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("n"))
                 .agg(F.min("component").alias("near")))
         lowered = (labels.join(near, labels["node"] == near["n"])

@@ -39,6 +39,7 @@ from tessera.llm.wordhash import mix, text_blocks, window_hashes, word_hashes, w
 SKETCH_SCHEMA = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary"
 _HASH_RUN = 1 << 16     # shingles hashed at a time: the run stays in the CPU's cache
 _SEED = 7321
+SKETCH = 256            # signature values of which one byte each is kept to compare pairs
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -101,7 +102,7 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, k: int, permut
                 full = [i for i, s in enumerate(sets) if len(s)]
                 signatures = min_max_signatures([sets[i] for i in full], permutations)
                 keys = band_keys(signatures, rows).view(np.int64)
-                marks = (mix(signatures) >> np.uint64(56)).astype(np.uint8)
+                marks = (mix(signatures[:, :SKETCH]) >> np.uint64(56)).astype(np.uint8)
                 bands: list = [[]] * len(sets)
                 sketch: list = [b""] * len(sets)
                 for row, i in enumerate(full):
@@ -118,9 +119,9 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, k: int, permut
 def _agreeing(pairs: DataFrame, sketches: DataFrame, numerator: int, denominator: int, slack: float) -> DataFrame:
     """Pairs whose sizes and sketches leave the threshold possible.
 
-    Sizes decide exactly. Of 128 sketch values a pair at similarity 0.75 agrees
-    in 0.75 with a standard deviation under 0.04; a pair is left out when it
-    agrees in fewer than the threshold less ``slack`` (0.2: five deviations).
+    Sizes decide exactly. Of 256 sketch values a pair at similarity 0.75 agrees
+    in 0.75 with a standard deviation under 0.028; a pair is left out when it
+    agrees in fewer than the threshold less ``slack`` (0.14: five deviations).
     """
     def keep(batches):
         for batch in batches:
@@ -171,13 +172,13 @@ def _sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                    numerator: int = 75, denominator: int = 100, permutations: int = 64, rows: int = 4,
-                    small_bucket: int = 32, centres: int = 6, slack: float = 0.2) -> DataFrame:
+                    numerator: int = 75, denominator: int = 100, permutations: int = 192, rows: int = 6,
+                    small_bucket: int = 16, centres: int = 2, slack: float = 0.14) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id
     reachable over confirmed links), kept (doc_id = component_id).
 
-    With 32 bands of 4 values a pair at similarity 0.75 misses every bucket
-    with a probability of 5e-6.
+    With 64 bands of 6 values a pair at similarity 0.75 misses every bucket
+    with a probability of 4e-6.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
@@ -207,24 +208,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         tested = close if tested is None else tested.union(close)
         labels = connected_components(links, scratch, f"cc-{turn}")
         turn += 1
-        labelled = (members.join(labels, members["doc_id"] == labels["node"], "left")
+        labelled = (members.join(maybe_broadcast(labels), members["doc_id"] == labels["node"], "left")
                     .select("key", "size", "doc_id", F.coalesce("component", "doc_id").alias("component")))
         open_keys = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        left = scratch.save(labelled.join(open_keys.select("key"), "key"), f"open-{turn}")
+        open_keys = scratch.save(open_keys.select("key"), f"open-keys-{turn}")
+        left = scratch.save(labelled.join(maybe_broadcast(open_keys), "key"), f"open-{turn}")
         few = left.where(F.col("size") <= small_bucket)
         across = (few.alias("x").join(few.alias("y"), "key")
                   .where("x.doc_id < y.doc_id and x.component <> y.component")
                   .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")))
         many = left.where(F.col("size") > small_bucket)
-        new_centres = many.groupBy("key").agg(*[
-            F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id", F.lit(turn * 1000 + c))).alias(f"c{c}")
-            for c in range(centres)]).select("key", F.explode(F.array_distinct(F.array(*[f"c{c}" for c in range(centres)]))).alias("c"))
-        stars = (many.join(new_centres, "key").where("component <> c.component")
+        drawn = [F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id", F.lit(turn * 1000 + c))) for c in range(centres)]
+        new_centres = many.groupBy("key").agg(F.array(*drawn).alias("cs")).select("key", F.explode(F.array_distinct("cs")).alias("c"))
+        new_centres = scratch.save(new_centres, f"centres-{turn}")
+        stars = (many.join(maybe_broadcast(new_centres), "key").where("component <> c.component")
                  .select(F.least("doc_id", "c.doc_id").alias("a"), F.greatest("doc_id", "c.doc_id").alias("b")))
-        pairs = across.union(stars).distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = across.union(stars).distinct().join(maybe_broadcast(tested), ["a", "b"], "left_anti")
 
     result = table.join(classes, "digest", "left")
     result = result.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep"))
-    result = result.join(labels, result["rep"] == labels["node"], "left").select(
+    result = result.join(maybe_broadcast(labels), result["rep"] == labels["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
     return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
