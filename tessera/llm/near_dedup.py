@@ -16,6 +16,9 @@ banded; sets that agree in a whole band share a bucket.
    more links there could not change the result. Every other bucket is taken
    up again: small ones with all pairs across components, large ones with new
    centres, until a round of them finds no link any more.
+4. Large buckets that still hold several components are closed exactly: sets
+   that such buckets chain together are one group, and all pairs of a group
+   across components are compared on the full sets, in blocks dealt by hash.
 
 Null texts count as empty; sets without shingles are linked with nothing. Rows
 of one id count as one document. A row without an id belongs to its class but
@@ -40,6 +43,8 @@ SKETCH_SCHEMA = "doc_id long, n_shingles long, digest binary, bands array<long>,
 _HASH_RUN = 1 << 16     # shingles hashed at a time: the run stays in the CPU's cache
 _SEED = 7321
 SKETCH = 256            # signature values of which one byte each is kept to compare pairs
+_BLOCK_SHINGLES = 1 << 17   # shingles of a block of sets, about: a megabyte
+_COLUMNS = 4096             # shingles multiplied at a time when two blocks are compared
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -171,9 +176,91 @@ def _sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int
     return rows.join(maybe_broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, shingles binary")
 
 
+def _common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Shingles that each set of ``left`` has in common with each of ``right``."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = held > 1                                        # others are in one set only
+    keep = often[at]
+    column, owner = (np.cumsum(often) - 1)[at[keep]], owner[keep]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((len(left), len(right)), np.float32)     # whole numbers, exact below 2^24
+    for lo in range(0, int(often.sum()), _COLUMNS):
+        a, b = np.searchsorted(column, [lo, lo + _COLUMNS])
+        dense = np.zeros((len(sets), _COLUMNS), np.float32)
+        dense[owner[a:b], column[a:b] - lo] = 1
+        out += dense[left] @ dense[right].T
+    return out.astype(np.int64)
+
+
+def _joining(a: np.ndarray, b: np.ndarray, own: np.ndarray) -> list[int]:
+    """Positions of links that join the components as all of them do."""
+    ends = np.sort(np.stack([own[a], own[b]], axis=1), axis=1)
+    ends, first = np.unique(ends, axis=0, return_index=True)
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    out = []
+    for (x, y), at in zip(ends.tolist(), first.tolist()):
+        p, q = top(x), top(y)
+        if p != q:
+            parent[q] = p
+            out.append(at)
+    return out
+
+
+def _closing_links(many: DataFrame, docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, k: int,
+                   numerator: int, denominator: int, block: int) -> DataFrame:
+    """Links that join all components which any link between two sets of a
+    bucket of ``many`` (key, doc_id, component) joins.
+
+    Sets that buckets chain together are a group. It is dealt into blocks by a
+    hash of the id, and each pair of blocks is compared in one call.
+    """
+    lows = scratch.save(many.groupBy("key").agg(F.min("doc_id").alias("b")), "lows")
+    chained = many.join(maybe_broadcast(lows), "key").select(F.col("doc_id").alias("a"), "b").distinct()
+    groups = connected_components(chained, scratch, "groups").select(F.col("node").alias("doc_id"), F.col("component").alias("chain"))
+    members = many.select("doc_id", F.col("component").alias("own")).distinct().join(maybe_broadcast(groups), "doc_id")
+    sizes = members.groupBy("chain").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo < hi").select("chain")
+    members = scratch.save(members.join(maybe_broadcast(scratch.save(sizes, "chains")), "chain"), "chained")
+    sets = _sets_of(docs, members.select("doc_id").distinct(), id_col, text_col, k).where("length(shingles) > 0")
+    held = scratch.save(sets.join(maybe_broadcast(members), "doc_id"), "chained-sets")
+    blocks = held.groupBy("chain").agg(F.ceil(F.greatest(
+        F.count("*") / block, F.sum(F.length("shingles")) / (8 * _BLOCK_SHINGLES))).cast("int").alias("blocks"))
+    cells = (held.join(maybe_broadcast(scratch.save(blocks, "blocks")), "chain")
+             .withColumn("at", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("chain", F.least("at", "other").alias("x"), F.greatest("at", "other").alias("y"), "at", "doc_id", "own", "shingles"))
+
+    def run(table: pa.Table) -> pa.Table:
+        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+        at, ids, own = (table.column(c).to_numpy() for c in ("at", "doc_id", "own"))
+        a = b = np.zeros(0, np.int64)
+        left, right = np.flatnonzero(at == x), np.flatnonzero(at == y)
+        if len(left) and len(right) and own.min() < own.max():
+            sets = [np.unique(np.frombuffer(s.as_py(), np.uint64)) for s in table.column("shingles")]
+            n = np.array([len(s) for s in sets], np.int64)
+            common = _common_counts(sets, left, right)
+            linked = denominator * common >= numerator * (n[left][:, None] + n[right][None, :] - common)
+            linked &= own[left][:, None] != own[right][None, :]
+            i, j = np.nonzero(linked)
+            a, b = left[i], right[j]
+            chosen = _joining(a, b, own) if len(a) else []
+            a, b = ids[a[chosen]], ids[b[chosen]]
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    return scratch.save(cells.groupBy("chain", "x", "y").applyInArrow(run, "a long, b long"), "closing-links")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                     numerator: int = 75, denominator: int = 100, permutations: int = 192, rows: int = 6,
-                    small_bucket: int = 16, centres: int = 2, slack: float = 0.14) -> DataFrame:
+                    small_bucket: int = 16, centres: int = 2, slack: float = 0.14, block: int = 256) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id
     reachable over confirmed links), kept (doc_id = component_id).
 
@@ -225,6 +312,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .select(F.least("doc_id", "c.doc_id").alias("a"), F.greatest("doc_id", "c.doc_id").alias("b")))
         pairs = across.union(stars).distinct().join(maybe_broadcast(tested), ["a", "b"], "left_anti")
 
+    if not many.isEmpty():
+        closing = _closing_links(many, docs, scratch, id_col, text_col, k, numerator, denominator, block)
+        if not closing.isEmpty():
+            labels = connected_components(links.union(closing), scratch, "cc-closed")
+
     result = table.join(classes, "digest", "left")
     result = result.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep"))
     result = result.join(maybe_broadcast(labels), result["rep"] == labels["node"], "left").select(

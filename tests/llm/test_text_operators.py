@@ -47,6 +47,22 @@ def test_near_dedup_rounds_settle_large_buckets(spark):
     assert got == brute.components(rows)
 
 
+def test_near_dedup_closes_large_buckets(spark):
+    """One template with a few pairs just over the threshold among very many
+    just under it: 100 shingles of the template and 17 of its own a text."""
+    rows = []
+    for n in range(400):
+        tail = [f"own{n}x{j}" for j in range(17)]
+        if n % 2 and n < 24:
+            tail[0] = f"own{n - 1}x0"
+        rows.append((n, " ".join([f"c{i}" for i in range(104)] + tail)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.components(rows)
+    assert len({c for _, c in want.values()}) == 388
+    for options in ({}, {"block": 64}):
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(docs, **options).collect()} == want
+
+
 def test_substring_dedup(odd_docs, odd_rows):
     got = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in remove_repeats(odd_docs).collect()]
     assert sorted(got, key=key) == sorted(brute.removed(odd_rows), key=key)
