@@ -9,6 +9,8 @@ banded; sets that agree in a whole band share a bucket.
 1. Every text is hashed once: shingle set, digest of the set, bands and a
    one-byte-per-value sketch are stored. Texts of equal sets are one class,
    stood for by its smallest id, so exact copies never meet in a bucket.
+   Small sets also get a bucket for each shingle of their prefix: two sets over
+   the threshold always share one, whatever the permutations are.
 2. Each bucket links its members to one centre (a star, linear in the bucket).
    Pairs whose sketch agreement or sizes rule out the threshold are skipped,
    all others are confirmed on the full sets.
@@ -43,6 +45,7 @@ SKETCH_SCHEMA = "doc_id long, n_shingles long, digest binary, bands array<long>,
 _HASH_RUN = 1 << 16     # shingles hashed at a time: the run stays in the CPU's cache
 _SEED = 7321
 SKETCH = 256            # signature values of which one byte each is kept to compare pairs
+SMALL_SET = 20          # sets of up to so many shingles get a key per shingle of their prefix
 _BLOCK_SHINGLES = 1 << 17   # shingles of a block of sets, about: a megabyte
 _COLUMNS = 4096             # shingles multiplied at a time when two blocks are compared
 
@@ -97,7 +100,16 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-def sketch_documents(docs: DataFrame, id_col: str, text_col: str, k: int, permutations: int, rows: int) -> DataFrame:
+def prefix_keys(shingles: np.ndarray, numerator: int, denominator: int) -> np.ndarray:
+    """Keys of the first shingles in hash order, of which sets over the
+    threshold have one in common at least: they share as many shingles as the
+    threshold asks of each one's size, and so few can't all lie behind."""
+    needed = -(-numerator * len(shingles) // denominator)
+    return mix(shingles[:len(shingles) - needed + 1] ^ np.uint64(0xA0761D6478BD642F))
+
+
+def sketch_documents(docs: DataFrame, id_col: str, text_col: str, k: int, permutations: int, rows: int,
+                     numerator: int = 75, denominator: int = 100) -> DataFrame:
     """Set size, digest, band keys and sketch of every row (``SKETCH_SCHEMA``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,6 +124,8 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, k: int, permut
                 sketch: list = [b""] * len(sets)
                 for row, i in enumerate(full):
                     bands[i], sketch[i] = keys[row], marks[row].tobytes()
+                    if len(sets[i]) <= SMALL_SET:
+                        bands[i] = np.concatenate([keys[row], prefix_keys(sets[i], numerator, denominator).view(np.int64)])
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
@@ -265,11 +279,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reachable over confirmed links), kept (doc_id = component_id).
 
     With 64 bands of 6 values a pair at similarity 0.75 misses every bucket
-    with a probability of 4e-6.
+    with a probability of 4e-6 if the sets are large, and of 7e-6 at most if the
+    larger has just over ``SMALL_SET`` shingles, as minimum and maximum of few
+    shingles are correlated. Pairs of smaller sets always share a bucket.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
-    table = scratch.save(sketch_documents(docs, id_col, text_col, k, permutations, rows), "sketches")
+    table = scratch.save(sketch_documents(docs, id_col, text_col, k, permutations, rows, numerator, denominator), "sketches")
     full = table.where("n_shingles > 0")
     classes = scratch.save(full.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     reps = full.join(classes.where("rep is not null"), "digest").where("doc_id = rep").select(

@@ -63,6 +63,17 @@ def test_near_dedup_closes_large_buckets(spark):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(docs, **options).collect()} == want
 
 
+def test_near_dedup_of_very_small_sets(spark):
+    """Texts of 7 and 8 words at similarity 0.75; no band of either pair agrees."""
+    rows = []
+    for n in (6451, 7692):
+        words = [f"s{n}x{i}" for i in range(8)]
+        rows += [(2 * n, " ".join(words[:7])), (2 * n + 1, " ".join(words))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(docs).collect()}
+    assert got == brute.components(rows) and len({c for _, c in got.values()}) == 2
+
+
 def test_substring_dedup(odd_docs, odd_rows):
     got = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in remove_repeats(odd_docs).collect()]
     assert sorted(got, key=key) == sorted(brute.removed(odd_rows), key=key)
