@@ -10,10 +10,16 @@ backpointer. A character no piece covers costs the unknown score and is written
 as its bytes.
 
 Of segmentations of equal score the one with the longer last piece wins.
+
+The scores of a BPE model are merge ranks, and the best sum of them is not that
+model's encoding. ``merge_batch`` gives the model's own ids: in each round the
+best adjacent pair of every segment of a batch, the leftmost of equal ones, is
+merged, until no pair is a piece.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 
 import numpy as np
@@ -22,6 +28,7 @@ MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 UNKNOWN_PENALTY = 10.0
 CELLS = 1 << 16         # characters of a batch of equal-length segments
+LONG = 256              # characters from which a segment is merged alone, by a heap
 MEMO = 150_000          # segments remembered per worker process: about 40 MB
 
 _BASE = 0x9E3779B97F4A7C13
@@ -81,7 +88,9 @@ class Vocabulary:
             raise ValueError("two pieces have the same key")
         self.present = np.zeros(1 << 20, bool)      # first bits of the keys: most probes end here
         self.present[self.keys >> _U(44)] = True
+        self.ranks = np.append(self.scores, -np.inf)            # the last one for no piece (-1)
         self.memo: dict[str, bytes] = {}
+        self.merged: dict[str, bytes] = {}
 
     @staticmethod
     def _sums(codes: np.ndarray) -> np.ndarray:
@@ -92,13 +101,12 @@ class Vocabulary:
         np.cumsum(mixed * _powers(_BASE, codes.shape[1]), axis=1, out=out[:, 1:])
         return out
 
-    def viterbi(self, codes: np.ndarray) -> list[bytes]:
-        """Piece ids (little-endian int32) of each row of an array of code
-        points: rows are segments of one length and advance together."""
+    def _found(self, codes: np.ndarray) -> np.ndarray:
+        """Place of the piece, or -1, by length - 1, row and start."""
         rows, n = codes.shape
         sums, inverse = self._sums(codes), _powers(pow(_BASE, -1, 2**64), n)
         longest = min(self.longest, n)
-        found = np.full((longest, rows, n), -1, np.int32)       # by length - 1 and start
+        found = np.full((longest, rows, n), -1, np.int32)
         for k in range(1, longest + 1):
             keys = _key((sums[:, k:] - sums[:, :n - k + 1]) * inverse[:n - k + 1], k)
             r, s = np.nonzero(self.present[keys >> _U(44)])
@@ -106,6 +114,14 @@ class Vocabulary:
             at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
             hit = self.keys[at] == wanted
             found[k - 1, r[hit], s[hit]] = at[hit]
+        return found
+
+    def viterbi(self, codes: np.ndarray) -> list[bytes]:
+        """Piece ids (little-endian int32) of each row of an array of code
+        points: rows are segments of one length and advance together."""
+        rows, n = codes.shape
+        found = self._found(codes)
+        longest = len(found)
         gain = np.where(found >= 0, self.scores[found], -np.inf)
         gain[0][found[0] < 0] = self.unknown
         best = np.full((rows, n + 1), -np.inf)
@@ -151,9 +167,83 @@ class Vocabulary:
             end -= k
         return np.array(out[::-1], "<i4").tobytes()
 
-    def learn(self, wanted: set[str]) -> None:
+    def merge(self, codes: np.ndarray) -> list[bytes]:
+        """Piece ids of each row by merges. All rows that still merge have as
+        many parts, as each loses one a round."""
+        rows, n = codes.shape
+        found = self._found(codes)
+        if n >= LONG:
+            return [self._pieces(codes[r], found[:, r], self._merge_alone(found[:, r])) for r in range(rows)]
+
+        def rank(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+            k = end - start
+            return self.ranks[np.where(k <= len(found), found[np.minimum(k, len(found)) - 1, row, start], -1)]
+
+        out: list = [b""] * rows
+        live, cuts = np.arange(rows), np.tile(np.arange(n + 1), (rows, 1))
+        pairs = rank(live[:, None], cuts[:, :-2], cuts[:, 2:])
+        while True:
+            best = pairs.argmax(axis=1) if pairs.shape[1] else np.zeros(len(live), np.int64)
+            on = pairs[np.arange(len(live)), best] > -np.inf if pairs.shape[1] else np.zeros(len(live), bool)
+            done = np.flatnonzero(~on)
+            if len(done):
+                self._write(codes, found, live[done], cuts[done], out)
+                live, cuts, pairs, best = live[on], cuts[on], pairs[on], best[on]
+            if not len(live):
+                return out
+            every, m = np.arange(len(live)), pairs.shape[1]
+            keep = np.ones(cuts.shape, bool)
+            keep[every, best + 1] = False
+            cuts = cuts[keep].reshape(len(live), -1)
+            keep = np.ones(pairs.shape, bool)
+            keep[every, best] = False
+            pairs = pairs[keep].reshape(len(live), -1)
+            for j in (best - 1, best):                          # the pairs beside the merged part
+                r = np.flatnonzero((j >= 0) & (j < m - 1))
+                pairs[r, j[r]] = rank(live[r], cuts[r, j[r]], cuts[r, j[r] + 2])
+
+    def _write(self, codes: np.ndarray, found: np.ndarray, rows: np.ndarray, cuts: np.ndarray, out: list) -> None:
+        """Ids between the cuts of rows that have as many parts."""
+        at = found[np.diff(cuts) - 1, rows[:, None], cuts[:, :-1]]
+        ids = self.ids[at].astype("<i4")
+        unknown = (at < 0).any(axis=1)
+        for i, r in enumerate(rows.tolist()):
+            out[r] = self._pieces(codes[r], found[:, r], cuts[i].tolist()) if unknown[i] else ids[i].tobytes()
+
+    def _merge_alone(self, found: np.ndarray) -> list[int]:
+        """Cuts of one long segment after all merges."""
+        longest, n = found.shape
+        after, before, rank = list(range(1, n + 1)), list(range(-1, n - 1)), self.ranks[found]
+        gone, heap = [False] * n, []
+
+        def push(start: int) -> None:
+            if start >= 0 and (middle := after[start]) < n and (end := after[middle]) - start <= longest:
+                if (x := rank[end - start - 1, start]) > -np.inf:
+                    heapq.heappush(heap, (-x, start, middle, end))
+
+        for start in range(n):
+            push(start)
+        while heap:
+            _, start, middle, end = heapq.heappop(heap)
+            if gone[start] or after[start] != middle or after[middle] != end:
+                continue
+            gone[middle], after[start] = True, end
+            if end < n:
+                before[end] = start
+            push(before[start])
+            push(start)
+        return [s for s in range(n) if not gone[s]] + [n]
+
+    def _pieces(self, codes: np.ndarray, found: np.ndarray, cuts: list[int]) -> bytes:
+        out: list[int] = []
+        for start, end in zip(cuts, cuts[1:]):
+            at = int(found[end - start - 1, start])
+            out.extend([int(self.ids[at])] if at >= 0 else [int(self.byte_ids[b]) for b in chr(int(codes[start])).encode()])
+        return np.array(out, "<i4").tobytes()
+
+    def learn(self, wanted: set[str], memo: dict[str, bytes], encode) -> None:
         """Encode segments that are not remembered yet, batched by length."""
-        new = [s for s in wanted if s not in self.memo]
+        new = [s for s in wanted if s not in memo]
         new.sort(key=len)
         lo = 0
         while lo < len(new):
@@ -162,16 +252,22 @@ class Vocabulary:
             while hi < len(new) and len(new[hi]) == n and (hi - lo) * n < CELLS:
                 hi += 1
             codes = np.frombuffer("".join(new[lo:hi]).encode("utf-32-le"), "<u4").reshape(hi - lo, n)
-            self.memo.update(zip(new[lo:hi], self.viterbi(codes)))
+            memo.update(zip(new[lo:hi], encode(codes)))
             lo = hi
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Piece ids of whole texts, as little-endian int32 bytes."""
-        if len(self.memo) > MEMO:
-            self.memo.clear()
+        return self._batch(texts, self.memo, self.viterbi)
+
+    def merge_batch(self, texts: list[str]) -> list[bytes]:
+        """The ids the BPE model itself gives whole texts, in the same form."""
+        return self._batch(texts, self.merged, self.merge)
+
+    def _batch(self, texts: list[str], memo: dict[str, bytes], encode) -> list[bytes]:
+        if len(memo) > MEMO:
+            memo.clear()
         cut = [segments(t) for t in texts]
-        self.learn({s for parts in cut for s in parts})
-        memo = self.memo
+        self.learn({s for parts in cut for s in parts}, memo, encode)
         return [b"".join([memo[s] for s in parts]) for parts in cut]
 
     def decode(self, ids: bytes) -> str:

@@ -1,6 +1,7 @@
 """Pieces, token counts, pages, URLs, mixing and the pipeline."""
 
 import glob
+import hashlib
 import re
 
 import brute
@@ -57,6 +58,18 @@ def test_viterbi_equals_brute_force(vocab, model):
         assert np.frombuffer(vocab.encode_batch([text])[0], "<i4").tolist() == want
 
 
+def test_round_trip_has_the_ids_of_the_library(spark, odd_rows, model):
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+    texts = [t for (t,) in duckdb.sql(f"SELECT text FROM '{BASE}/documents.parquet'").fetchall()] + [t or "" for _, t in odd_rows]
+    texts += ["日本 語𝄞x", "  a  b ", "\n\n", "▁▁x", "x" * 255, "日" * 300, "antidisestablishmentarianism" * 12, " " * 400 + "end"]
+    rows = round_trip(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert len(rows) == len(texts) and all(r["round_trip"] for r in rows)
+    for r in rows:
+        ids = sp.encode(texts[r["doc_id"]])
+        assert (r["n_pieces"], r["ids_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest())
+
+
 def test_encode_and_decode_come_back(odd_docs, odd_rows, model):
     rows = decoded(encoded(odd_docs, model), model).collect()
     assert sorted(r["decoded"] for r in rows) == sorted((t or "").replace(MARK, " ") for _, t in odd_rows)
