@@ -39,7 +39,8 @@ recommend\w*|menu|nav|navbar|navigation|breadcrumbs?|footer|login|signup|sign-?i
 complementary|contentinfo)(?![a-z])""")
 COMMENTS = re.compile(rf"(?i)(?<![a-z])({COMMENT_NAMES})(?![a-z])")
 HEADERS = re.compile(r"(?i)(?<![a-z])(header|masthead)(?![a-z])")
-HIDDEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden|\bhidden\b|aria-hidden\s*=\s*[\"']?true")
+HIDDEN_STYLE = re.compile(r"(?i)(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*hidden)(?![\w-])")
+ATTRIBUTE = re.compile(r"""(?s)([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 NAMING = re.compile(r"""(?is)\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
 TOKEN = re.compile(r"""<!--(?P<comment>)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
                    r"""|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*+)>|<[!?][^>]*+>""")
@@ -47,6 +48,15 @@ FEATURES = ("words", "link_density", "words_before", "link_density_before", "wor
             "in_main", "in_side", "heading", "list_item")
 
 
+def hidden(attrs: str) -> bool:
+    """The attribute ``hidden``, a style that hides, or ``aria-hidden=true``."""
+    for name, value in ATTRIBUTE.findall(attrs):
+        name, value = name.lower(), value.strip("\"'").strip()
+        if name == "hidden" or name == "style" and HIDDEN_STYLE.search(value) or name == "aria-hidden" and value.lower() == "true":
+            return True
+    return False
+
+
 @dataclass
 class Block:
     text: str
@@ -106,7 +116,7 @@ class _Page:
                 side = not self.main        # an article's own header belongs to it
             else:
                 side = tag in SIDE_TAGS or (tag not in ("html", "body") and bool(
-                    named and SIDE_NAMES.search(named) or attrs and HIDDEN.search(attrs)))
+                    named and SIDE_NAMES.search(named) or attrs and hidden(attrs)))
             self.stack.append((tag, main, side))
             self.main += main
             self.side += side

@@ -137,6 +137,14 @@ def test_side_parts_of_an_article():
         assert text(f"{part}<article>{body}</article>") == story
 
 
+def test_hidden_parts_and_clipped_wrappers():
+    side = lambda attrs: [b.in_side for b in main_text.parse_blocks(f"<div {attrs}><p>some words</p></div>")] == [True]
+    for attrs in ("style='overflow:hidden'", "class='overflow-hidden'", "class='md-hidden-x'", 'data-state="not hidden"', "aria-hidden=false"):
+        assert not side(attrs), attrs
+    for attrs in ("hidden", "id=x hidden class=y", "style='color:red; display : none'", 'style="visibility:hidden"', "aria-hidden=true", "ARIA-HIDDEN='true'"):
+        assert side(attrs), attrs
+
+
 def test_pages_with_nulls_and_blocks(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", ""), (3, "u", "<nav><a href=x>menu</a></nav><p>" + "word " * 40 + "</p>"), (3, "u", "<p>x")],
                                   "page_id long, url string, html string")
