@@ -39,6 +39,7 @@ recommend\w*|menu|nav|navbar|navigation|breadcrumbs?|footer|login|signup|sign-?i
 complementary|contentinfo)(?![a-z])""")
 COMMENTS = re.compile(rf"(?i)(?<![a-z])({COMMENT_NAMES})(?![a-z])")
 HEADERS = re.compile(r"(?i)(?<![a-z])(header|masthead)(?![a-z])")
+COMMENT_STATE = re.compile(r"(?i)(?<![^\s\"'])comments?-(?:open|closed|on|off|enabled|disabled|allowed)(?![^\s\"'])")
 HIDDEN_STYLE = re.compile(r"(?i)(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*hidden)(?![\w-])")
 ATTRIBUTE = re.compile(r"""(?s)([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 NAMING = re.compile(r"""(?is)\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
@@ -75,7 +76,7 @@ class Block:
 @dataclass
 class _Page:
     """State of one page's parse."""
-    stack: list = field(default_factory=list)       # (tag, is main, is side)
+    stack: list = field(default_factory=list)       # (tag, is main, is side, is side by name)
     parts: list = field(default_factory=list)
     blocks: list = field(default_factory=list)
     links: int = 0
@@ -84,6 +85,10 @@ class _Page:
     side: int = 0
     heading: bool = False
     item: bool = False
+    named: list = field(default_factory=list)       # side by name: [outer one, depth, by a whole token, holds main, holds article]
+    inner: int = -1                                 # the innermost of these that is open
+    within: list = field(default_factory=list)      # the innermost one of each block
+    articles: list = field(default_factory=list)    # the innermost one of each article
 
     def text(self, raw: str) -> None:
         if raw:
@@ -98,6 +103,7 @@ class _Page:
         if words:
             self.blocks.append(Block(" ".join(words), len(words), min(self.linked, len(words)), self.main > 0, self.side > 0,
                                      self.heading, self.item))
+            self.within.append(self.inner)
         self.linked = 0
 
     def open(self, tag: str, attrs: str) -> None:
@@ -110,14 +116,26 @@ class _Page:
         if tag in NESTING_TAGS:
             named = " ".join(NAMING.findall(attrs))
             main = tag in MAIN_TAGS
+            side = by_name = False
             if main:        # an article can be a reader's comment
-                side = bool(named and COMMENTS.search(named))
-            elif tag == "header" or named and HEADERS.search(named):
+                side = bool(named and COMMENTS.search(COMMENT_STATE.sub("", named)))
+                if tag == "main":
+                    self._hold(self.inner, 3)
+                elif not side and not self.side:
+                    self.articles.append(self.inner)
+            elif tag == "header":
                 side = not self.main        # an article's own header belongs to it
-            else:
-                side = tag in SIDE_TAGS or (tag not in ("html", "body") and bool(
-                    named and SIDE_NAMES.search(named) or attrs and hidden(attrs)))
-            self.stack.append((tag, main, side))
+            elif tag not in ("html", "body"):
+                if named and HEADERS.search(named):
+                    by_name = not self.main
+                else:
+                    side = tag in SIDE_TAGS or bool(attrs and hidden(attrs))
+                    by_name = not side and bool(named and SIDE_NAMES.search(named))
+            if by_name:
+                whole = any(SIDE_NAMES.fullmatch(t) or HEADERS.fullmatch(t) for t in re.split(r"[\s\"']+", named))
+                self.named.append([self.inner, self.named[self.inner][1] + 1 if self.inner >= 0 else 1, whole, False, False])
+                self.inner = len(self.named) - 1
+            self.stack.append((tag, main, side, by_name))
             self.main += main
             self.side += side
         elif tag == "a":
@@ -131,15 +149,37 @@ class _Page:
             self.heading = self.item = False
         if tag == "a":
             self.links = 0
-        elif tag in NESTING_TAGS and any(t == tag for t, _, _ in self.stack):
+        elif tag in NESTING_TAGS and any(t == tag for t, *_ in self.stack):
             while True:
-                was, main, side = self.stack.pop()
+                was, main, side, by_name = self.stack.pop()
+                if by_name:
+                    self.inner = self.named[self.inner][0]
                 self.main -= main
                 self.side -= side
                 if was == tag:
                     break
 
 
+    def _hold(self, at: int, kind: int) -> None:
+        while at >= 0 and not self.named[at][kind]:
+            self.named[at][kind] = True
+            at = self.named[at][0]
+
+    def settle(self) -> None:
+        """Names mark no side part where the element holds the page's main, or
+        where its outermost articles are and only a part of a token says so."""
+        depth = [self.named[at][1] if at >= 0 else 0 for at in self.articles]
+        least = min(depth, default=0)
+        for at, d in zip(self.articles, depth):
+            if d == least:
+                self._hold(at, 4)
+        side: list[bool] = []
+        for outer, _, whole, holds_main, holds_article in self.named:
+            side.append(outer >= 0 and side[outer] or not (holds_main or holds_article and not whole))
+        for block, at in zip(self.blocks, self.within):
+            block.in_side = block.in_side or at >= 0 and side[at]
+
+
 def parse_blocks(html: str) -> list[Block]:
     """Flat text blocks of a page in page order; silent elements have none."""
     page, at, lower = _Page(), 0, None
@@ -177,6 +217,7 @@ def parse_blocks(html: str) -> list[Block]:
         else:
             page.open(tag, attrs)
     page.flush()
+    page.settle()
     return page.blocks
 
 

@@ -137,6 +137,19 @@ def test_side_parts_of_an_article():
         assert text(f"{part}<article>{body}</article>") == story
 
 
+def test_wrappers_named_like_side_parts():
+    tree = main_text.trained_tree()
+    body = "<p>" + "Some words of the story that go on for a while and then end. " * 3 + "</p>"
+    text = lambda html: main_text.page_text(html, tree)
+    story = text(f"<article>{body}</article>")
+    for page in ("<body class='fixed-header'>{}</body>", "<html class='has-header'><body>{}</body></html>", "<div class='container header-sticky'>{}</div>",
+                 "<div class='content sidebar-right'>{}</div>", "<div class='page header'><main>{}</main></div>"):
+        assert text(page.format(f"<article>{body}</article>")) == story, page
+        related = "<div class='related-posts'><article><p>Another story of last week here.</p></article></div>"
+        assert text(page.format(f"<article>{body}</article>{related}")) == story, page
+    assert text(f"<article class='post comments-open'>{body}</article>") == story
+
+
 def test_hidden_parts_and_clipped_wrappers():
     side = lambda attrs: [b.in_side for b in main_text.parse_blocks(f"<div {attrs}><p>some words</p></div>")] == [True]
     for attrs in ("style='overflow:hidden'", "class='overflow-hidden'", "class='md-hidden-x'", 'data-state="not hidden"', "aria-hidden=false"):
