@@ -33,6 +33,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b"""
 
 
+OP11 = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS least FROM p)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> least THEN least END AS refers_to
+FROM f"""
+
+# crc32 bit by bit: a byte is nine steps, one that mixes it in and eight shifts.
+OP13 = """
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id AS c, conv_id::VARCHAR AS s FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (SELECT c, s, 0 AS i, 4294967295::BIGINT AS v FROM ids UNION ALL
+        SELECT c, s, i + 1, CASE WHEN i % 9 = 0 THEN xor(v, ascii(substr(s, i // 9 + 1, 1))::BIGINT)
+                                 WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END
+        FROM crc WHERE i < 9 * length(s)),
+turns AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS n,
+                 coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, xor(v, 4294967295::BIGINT) % 4 AS h, c - c % 20 AS base FROM crc WHERE i = 9 * length(s)),
+lens AS (SELECT c, count(*) AS own FROM turns GROUP BY c),
+rebuilt AS (
+  SELECT k.c, b.n AS place, b.role, b.t FROM convs k JOIN turns b ON b.c = k.base AND b.n <= k.h UNION ALL
+  SELECT o.c, o.n - k.h + least(k.h, coalesce(l.own, 0)), o.role, o.t
+  FROM turns o JOIN convs k ON k.c = o.c LEFT JOIN lens l ON l.c = k.base WHERE o.n > k.h),
+paths AS (
+  SELECT c, place AS depth, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS words,
+         string_agg(md5(strlen(role) || ':' || role || t), '') OVER (PARTITION BY c ORDER BY place) AS path FROM rebuilt UNION ALL
+  SELECT c, 0, 0, '' FROM ids),
+nodes AS (SELECT path, max(depth) AS depth, min(c) AS conv, count(*) AS n_convs, max(words) AS words FROM paths GROUP BY path),
+kids AS (SELECT left(path, length(path) - 32) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (path)),
+below AS (SELECT DISTINCT a.path, d.path AS under FROM paths a JOIN paths d ON a.c = d.c AND d.depth >= a.depth),
+subs AS (SELECT below.path, sum(CASE WHEN n.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved
+         FROM below JOIN full_nodes n ON n.path = below.under GROUP BY below.path),
+finals AS (SELECT c, max(depth) AS depth FROM paths GROUP BY c),
+ended AS (SELECT p.path, sha256(string_agg(p.c::VARCHAR, ',' ORDER BY p.c)) AS sha FROM paths p JOIN finals USING (c, depth) GROUP BY p.path)
+SELECT n.conv AS conv_id, n.depth::BIGINT AS depth, u.conv AS parent_conv_id, n.n_convs::BIGINT AS n_convs, n.n_children::BIGINT AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, coalesce(e.sha, sha256('')) AS ends_sha256
+FROM full_nodes n JOIN subs s USING (path) LEFT JOIN ended e USING (path)
+LEFT JOIN nodes u ON n.depth > 0 AND u.path = left(n.path, length(n.path) - 32)"""
+
+
 def _either_case(pattern: str) -> str:
     """ASCII letters of the keyword group in either case, spelt out."""
     words, rest = pattern.split(")", 1)
@@ -111,4 +152,5 @@ left_ AS (SELECT r, string_agg(v.x, ' ' ORDER BY v.p) AS t
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(gone.n, 0) AS n_removed, sha256(coalesce(left_.t, '')) AS kept_sha256
 FROM d LEFT JOIN gone USING (r) LEFT JOIN left_ USING (r)"""
 
-SQL: dict[str, str] = {"op2_quality_rules": OP2, "op6_substring_dedup": OP6, "op7_secret_scan": _op7(), "op9_exact_dedup": OP9}
+SQL: dict[str, str] = {"op2_quality_rules": OP2, "op6_substring_dedup": OP6, "op7_secret_scan": _op7(), "op9_exact_dedup": OP9,
+                       "op11_warc": OP11, "op13_prefix_trie": OP13}

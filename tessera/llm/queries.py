@@ -10,17 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import oracles
+from tessera.llm.alignment import alignments
 from tessera.llm.common import Scratch
 from tessera.llm.exact_dedup import exact_duplicates
 from tessera.llm.main_text import main_texts
 from tessera.llm.mixing import mixed
 from tessera.llm.near_dedup import near_duplicates
+from tessera.llm.prefix_trie import prefix_trie
 from tessera.llm.quality import judged
 from tessera.llm.secrets import report, scan
 from tessera.llm.sentencepieces import read_model, round_trip
 from tessera.llm.substring_dedup import remove_repeats
 from tessera.llm.token_counts import token_counts
 from tessera.llm.url_filter import ALLOW, BLOCK, PrefixRule, host_of, judge_urls
+from tessera.llm.warc import archived
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,6 +35,7 @@ URL_RULES = [PrefixRule(ALLOW, "com", "/"), PrefixRule(BLOCK, "example.com", "/e
              PrefixRule(BLOCK, "net", "/es/"), PrefixRule(BLOCK, "net", "/fr/")]
 LISTED_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_MODEL = "byte_bpe_50k.json"
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,8 +84,22 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_read(spark, sf_dir, "documents"), read_model(public_tokenizers.path(PIECE_MODEL)))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(_read(spark, sf_dir, "pages"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignments(_read(spark, sf_dir, "documents"), read_model(public_tokenizers.path(BYTE_MODEL)),
+                      read_model(public_tokenizers.path(PIECE_MODEL)))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_quality_rules, op3_source_mixing, op4_html_extraction, op5_minhash_near_dedup,
-                            op6_substring_dedup, op7_secret_scan, op8_token_counts, op9_exact_dedup, op10_sentencepiece)
+                            op6_substring_dedup, op7_secret_scan, op8_token_counts, op9_exact_dedup, op10_sentencepiece,
+                            op11_warc, op12_token_alignment, op13_prefix_trie)
 }
 ORACLE: dict[str, str] = {"op1_url_filter": oracles.op1(URL_RULES, LISTED_SITES), **oracles.SQL}
