@@ -24,6 +24,7 @@ cut short, makes the read fail.
 from __future__ import annotations
 
 import gzip
+import io
 from collections.abc import Iterator
 from datetime import datetime, timezone
 from hashlib import sha256
@@ -100,7 +101,7 @@ def write_responses(pages: DataFrame, path: str, id_col: str = "page_id", url_co
 def _records(content: pa.Buffer, name: str) -> Iterator[tuple[int, dict[str, str], bytes]]:
     """(offset, headers by lower-case name, block) of each record of a file."""
     raw = pa.BufferReader(content)
-    file = gzip.GzipFile(fileobj=raw) if content.size > 1 and content[:2].to_pybytes() == b"\x1f\x8b" else raw
+    file = gzip.GzipFile(fileobj=raw) if content.size > 1 and content[:2].to_pybytes() == b"\x1f\x8b" else io.BufferedReader(raw)
     at = 0
 
     def line() -> bytes:
