@@ -9,18 +9,18 @@ banded; sets that agree in a whole band share a bucket.
 1. Every text is hashed once: shingle set, digest of the set, bands and a
    one-byte-per-value sketch are stored. Texts of equal sets are one class,
    stood for by its smallest id, so exact copies never meet in a bucket.
-   Small sets also get a bucket for each shingle of their prefix: two sets over
-   the threshold always share one, whatever the permutations are.
-2. Each bucket links its members to one centre (a star, linear in the bucket).
-   Pairs whose sketch agreement or sizes rule out the threshold are skipped,
-   all others are confirmed on the full sets.
+2. Each set is first paired with one centre: the smallest of its buckets'
+   smallest ids, so a tight group gets about one link a member however many
+   buckets it shares. Pairs whose sketch agreement or sizes rule out the
+   threshold are skipped, all others are confirmed on the full sets.
 3. Confirmed links give components. A bucket inside one component is settled:
    more links there could not change the result. Every other bucket is taken
    up again: small ones with all pairs across components, large ones with new
    centres, until a round of them finds no link any more.
-4. Large buckets that still hold several components are closed exactly: sets
-   that such buckets chain together are one group, and all pairs of a group
-   across components are compared on the full sets, in blocks dealt by hash.
+4. Small sets, for which bands are too coarse, and the sets of large buckets
+   that still hold several components are settled exactly, by a prefix filter
+   with size and position bounds on the shingles that components share, rarest
+   first (``prefix_pairs``): what a whole template has in common stays out.
 
 Null texts count as empty; sets without shingles are linked with nothing. Rows
 of one id count as one document. A row without an id belongs to its class but
@@ -34,20 +34,18 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Scratch, maybe_broadcast
 from tessera.llm.components import connected_components
 from tessera.llm.wordhash import mix, text_blocks, window_hashes, word_hashes, words
 
-SKETCH_SCHEMA = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary"
+SKETCH_SCHEMA = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary, small binary"
 _HASH_RUN = 1 << 16     # shingles hashed at a time: the run stays in the CPU's cache
 _SEED = 7321
 SKETCH = 256            # signature values of which one byte each is kept to compare pairs
-SMALL_SET = 20          # sets of up to so many shingles get a key per shingle of their prefix
-_BLOCK_SHINGLES = 1 << 17   # shingles of a block of sets, about: a megabyte
-_COLUMNS = 4096             # shingles multiplied at a time when two blocks are compared
+SMALL_SET = 20          # sets of up to so many shingles are settled exactly
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -100,17 +98,9 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-def prefix_keys(shingles: np.ndarray, numerator: int, denominator: int) -> np.ndarray:
-    """Keys of the first shingles in hash order, of which sets over the
-    threshold have one in common at least: they share as many shingles as the
-    threshold asks of each one's size, and so few can't all lie behind."""
-    needed = -(-numerator * len(shingles) // denominator)
-    return mix(shingles[:len(shingles) - needed + 1] ^ np.uint64(0xA0761D6478BD642F))
-
-
-def sketch_documents(docs: DataFrame, id_col: str, text_col: str, k: int, permutations: int, rows: int,
-                     numerator: int = 75, denominator: int = 100) -> DataFrame:
-    """Set size, digest, band keys and sketch of every row (``SKETCH_SCHEMA``)."""
+def sketch_documents(docs: DataFrame, id_col: str, text_col: str, k: int, permutations: int, rows: int) -> DataFrame:
+    """Set size, digest, band keys, sketch and, if small, the whole set of every
+    row (``SKETCH_SCHEMA``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -124,13 +114,12 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, k: int, permut
                 sketch: list = [b""] * len(sets)
                 for row, i in enumerate(full):
                     bands[i], sketch[i] = keys[row], marks[row].tobytes()
-                    if len(sets[i]) <= SMALL_SET:
-                        bands[i] = np.concatenate([keys[row], prefix_keys(sets[i], numerator, denominator).view(np.int64)])
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                    pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                    names=["doc_id", "n_shingles", "digest", "bands", "sketch"])
+                    pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary()),
+                    pa.array([x.tobytes() if 0 < len(x) <= SMALL_SET else None for x in sets], pa.binary())],
+                    names=["doc_id", "n_shingles", "digest", "bands", "sketch", "small"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, SKETCH_SCHEMA)
 
@@ -190,86 +179,74 @@ def _sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int
     return rows.join(maybe_broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, shingles binary")
 
 
-def _common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Shingles that each set of ``left`` has in common with each of ``right``."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, at, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    often = held > 1                                        # others are in one set only
-    keep = often[at]
-    column, owner = (np.cumsum(often) - 1)[at[keep]], owner[keep]
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    out = np.zeros((len(left), len(right)), np.float32)     # whole numbers, exact below 2^24
-    for lo in range(0, int(often.sum()), _COLUMNS):
-        a, b = np.searchsorted(column, [lo, lo + _COLUMNS])
-        dense = np.zeros((len(sets), _COLUMNS), np.float32)
-        dense[owner[a:b], column[a:b] - lo] = 1
-        out += dense[left] @ dense[right].T
-    return out.astype(np.int64)
-
-
-def _joining(a: np.ndarray, b: np.ndarray, own: np.ndarray) -> list[int]:
-    """Positions of links that join the components as all of them do."""
-    ends = np.sort(np.stack([own[a], own[b]], axis=1), axis=1)
-    ends, first = np.unique(ends, axis=0, return_index=True)
-    parent: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while (up := parent.get(x, x)) != x:
-            parent[x] = parent.get(up, up)
-            x = up
-        return x
-
-    out = []
-    for (x, y), at in zip(ends.tolist(), first.tolist()):
-        p, q = top(x), top(y)
-        if p != q:
-            parent[q] = p
-            out.append(at)
-    return out
-
-
-def _closing_links(many: DataFrame, docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, k: int,
-                   numerator: int, denominator: int, block: int) -> DataFrame:
-    """Links that join all components which any link between two sets of a
-    bucket of ``many`` (key, doc_id, component) joins.
-
-    Sets that buckets chain together are a group. It is dealt into blocks by a
-    hash of the id, and each pair of blocks is compared in one call.
+def _exploded(sets: DataFrame, block: int) -> DataFrame:
+    """(doc_id, own, n, token) of (doc_id, own, shingles) rows."""
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, block):
+                part = batch.slice(at, block)
+                held = [np.unique(np.frombuffer(x.as_py(), np.int64)) for x in part.column(2)]
+                n = np.array([len(x) for x in held], np.int64)
+                ids, own = (np.repeat(part.column(c).to_numpy(), n) for c in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(own), pa.array(np.repeat(n, n)), pa.array(np.concatenate(held))],
+                                                 names=["doc_id", "own", "n", "token"])
+
+    return sets.select("doc_id", "own", "shingles").mapInArrow(run, "doc_id long, own long, n long, token long")
+
+
+def prefix_pairs(sets: DataFrame, scratch: Scratch, numerator: int, denominator: int, block: int = 256) -> DataFrame:
+    """(a, b): all pairs of (doc_id, own, shingles) rows of different components
+    ``own`` that sizes and positions leave the threshold, each at least once.
+
+    Shingles are put in one order for all sets: first those that only one
+    component holds, which lead to no pair, then the others, rarest first. Let
+    the smaller set of a pair over the threshold have n shingles: the two share
+    at least 2t/(1+t) n of them and t times the larger one's, so the first that
+    they share lies before those last ones in either. Only these places are
+    joined. The component that most of a shingle's places belong to is never
+    joined with itself.
     """
-    lows = scratch.save(many.groupBy("key").agg(F.min("doc_id").alias("b")), "lows")
-    chained = many.join(maybe_broadcast(lows), "key").select(F.col("doc_id").alias("a"), "b").distinct()
-    groups = connected_components(chained, scratch, "groups").select(F.col("node").alias("doc_id"), F.col("component").alias("chain"))
-    members = many.select("doc_id", F.col("component").alias("own")).distinct().join(maybe_broadcast(groups), "doc_id")
-    sizes = members.groupBy("chain").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo < hi").select("chain")
-    members = scratch.save(members.join(maybe_broadcast(scratch.save(sizes, "chains")), "chain"), "chained")
-    sets = _sets_of(docs, members.select("doc_id").distinct(), id_col, text_col, k).where("length(shingles) > 0")
-    held = scratch.save(sets.join(maybe_broadcast(members), "doc_id"), "chained-sets")
-    blocks = held.groupBy("chain").agg(F.ceil(F.greatest(
-        F.count("*") / block, F.sum(F.length("shingles")) / (8 * _BLOCK_SHINGLES))).cast("int").alias("blocks"))
-    cells = (held.join(maybe_broadcast(scratch.save(blocks, "blocks")), "chain")
-             .withColumn("at", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("chain", F.least("at", "other").alias("x"), F.greatest("at", "other").alias("y"), "at", "doc_id", "own", "shingles"))
-
-    def run(table: pa.Table) -> pa.Table:
-        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
-        at, ids, own = (table.column(c).to_numpy() for c in ("at", "doc_id", "own"))
-        a = b = np.zeros(0, np.int64)
-        left, right = np.flatnonzero(at == x), np.flatnonzero(at == y)
-        if len(left) and len(right) and own.min() < own.max():
-            sets = [np.unique(np.frombuffer(s.as_py(), np.uint64)) for s in table.column("shingles")]
-            n = np.array([len(s) for s in sets], np.int64)
-            common = _common_counts(sets, left, right)
-            linked = denominator * common >= numerator * (n[left][:, None] + n[right][None, :] - common)
-            linked &= own[left][:, None] != own[right][None, :]
-            i, j = np.nonzero(linked)
-            a, b = left[i], right[j]
-            chosen = _joining(a, b, own) if len(a) else []
-            a, b = ids[a[chosen]], ids[b[chosen]]
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
-
-    return scratch.save(cells.groupBy("chain", "x", "y").applyInArrow(run, "a long, b long"), "closing-links")
+    tokens = scratch.save(_exploded(sets, block), "tokens")
+    shared = tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("own").alias("lo"), F.max("own").alias("hi"))
+    shared = scratch.save(shared.where("lo < hi").select("token", "df"), "shared-tokens")
+    held = tokens.join(maybe_broadcast(shared), "token")
+    rank = Window.partitionBy("doc_id").orderBy("df", "token")
+    placed = held.select("doc_id", "own", "n", "token", (F.row_number().over(rank) - 1).alias("rank"),
+                         F.count("*").over(Window.partitionBy("doc_id")).alias("m"))
+    placed = placed.withColumn("place", F.col("n") - F.col("m") + F.col("rank"))
+    n, num, den = F.col("n"), numerator, denominator
+    probe = placed.where(F.col("place") <= n - F.ceil(n * num / den)).select(
+        "doc_id", "own", "n", "token", "place", (F.col("place") <= n - F.ceil(n * (2 * num) / (num + den))).alias("short"))
+    probe = scratch.save(probe, "prefixes")
+    per_own = probe.groupBy("token", "own").agg(F.count("*").alias("rows"))
+    tops = per_own.groupBy("token").agg(F.max(F.struct("rows", "own")).alias("top"), F.count("*").alias("owns")).where("owns > 1")
+    tops = scratch.save(tops.select("token", F.col("top.own").alias("most")), "most")
+    probe = scratch.save(probe.join(maybe_broadcast(tops), "token"), "open-prefixes")
+    x, y = probe.where("short").alias("x"), probe.alias("y")
+    fits = ((F.col("x.own") != F.col("y.own"))
+            & ((F.col("x.n") < F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.doc_id") < F.col("y.doc_id")))
+            & (F.col("x.n") * den >= F.col("y.n") * num)
+            & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) * (num + den) >= (F.col("x.n") + F.col("y.n")) * num))
+    same = F.col("x.token") == F.col("y.token")
+    minor = x.where("own <> most").join(y, same & fits)
+    major = x.where("own = most").join(y.where("own <> most"), same & fits)
+    both = [q.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")) for q in (minor, major)]
+    return scratch.save(both[0].union(both[1]).distinct(), "prefix-pairs")
+
+
+def _closing_links(reps: DataFrame, open_ids: DataFrame, labels: DataFrame, docs: DataFrame, scratch: Scratch, id_col: str,
+                   text_col: str, k: int, numerator: int, denominator: int, block: int) -> DataFrame:
+    """Links between components among all small sets, and among the sets whose
+    id is in ``open_ids``."""
+    large = open_ids.join(reps.where("small is null").select("doc_id"), "doc_id", "left_semi")
+    held = reps.where("small is not null").select("doc_id", F.col("small").alias("shingles"))
+    if not open_ids.isEmpty():
+        held = held.union(_sets_of(docs, scratch.save(large, "open-ids"), id_col, text_col, k).where("length(shingles) > 0").dropDuplicates(["doc_id"]))
+    own = held.join(maybe_broadcast(labels), held["doc_id"] == labels["node"], "left").select(
+        "doc_id", F.coalesce("component", "doc_id").alias("own"), "shingles")
+    sets = scratch.save(own, "closing-sets")
+    pairs = prefix_pairs(sets, scratch, numerator, denominator, block)
+    return scratch.save(_confirmed(pairs, sets.select("doc_id", "shingles"), numerator, denominator), "closing-links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -281,15 +258,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     With 64 bands of 6 values a pair at similarity 0.75 misses every bucket
     with a probability of 4e-6 if the sets are large, and of 7e-6 at most if the
     larger has just over ``SMALL_SET`` shingles, as minimum and maximum of few
-    shingles are correlated. Pairs of smaller sets always share a bucket.
+    shingles are correlated. The sketch filter skips such a pair with a
+    probability under 4e-7. Pairs of smaller sets are settled exactly. ``block``
+    is the number of sets taken apart at a time in that step.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
-    table = scratch.save(sketch_documents(docs, id_col, text_col, k, permutations, rows, numerator, denominator), "sketches")
+    table = scratch.save(sketch_documents(docs, id_col, text_col, k, permutations, rows), "sketches")
     full = table.where("n_shingles > 0")
     classes = scratch.save(full.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     reps = full.join(classes.where("rep is not null"), "digest").where("doc_id = rep").select(
-        "doc_id", "n_shingles", "bands", "sketch")
+        "doc_id", "n_shingles", "bands", "sketch", "small")
     reps = scratch.save(reps.dropDuplicates(["doc_id", "n_shingles"]), "reps")
 
     banded = reps.select("doc_id", F.explode("bands").alias("key"))
@@ -297,7 +276,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                           .where("size > 1"), "shared")
     members = scratch.save(banded.join(maybe_broadcast(shared), "key"), "members")
 
-    pairs = members.where("centre <> doc_id").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
+    pairs = members.where("centre <> doc_id").groupBy(F.col("doc_id").alias("b")).agg(F.min("centre").alias("a")).select("a", "b")
     links, tested, labels, turn = None, None, None, 0
     while True:
         close = scratch.save(_agreeing(pairs, reps, numerator, denominator, slack), f"close-{turn}")
@@ -328,10 +307,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .select(F.least("doc_id", "c.doc_id").alias("a"), F.greatest("doc_id", "c.doc_id").alias("b")))
         pairs = across.union(stars).distinct().join(maybe_broadcast(tested), ["a", "b"], "left_anti")
 
-    if not many.isEmpty():
-        closing = _closing_links(many, docs, scratch, id_col, text_col, k, numerator, denominator, block)
-        if not closing.isEmpty():
-            labels = connected_components(links.union(closing), scratch, "cc-closed")
+    open_ids = scratch.save(many.select("doc_id").distinct(), "open-large")
+    closing = _closing_links(reps, open_ids, labels, docs, scratch, id_col, text_col, k, numerator, denominator, block)
+    if not closing.isEmpty():
+        labels = connected_components(links.union(closing), scratch, "cc-closed")
 
     result = table.join(classes, "digest", "left")
     result = result.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep"))

@@ -4,7 +4,8 @@ texts, ties, repeated rows, empty tables, further columns of clashing names."""
 import brute
 import pytest
 from pyspark.sql import functions as F
-from tessera.llm import quality, secrets
+from tessera.llm import near_dedup, quality, secrets
+from tessera.llm.common import Scratch
 from tessera.llm.exact_dedup import exact_duplicates
 from tessera.llm.near_dedup import near_duplicates
 from tessera.llm.substring_dedup import remove_repeats
@@ -63,6 +64,38 @@ def test_near_dedup_closes_large_buckets(spark):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(docs, **options).collect()} == want
 
 
+def test_prefix_pairs_lose_no_link(spark):
+    """Random sets of many sizes, in components, against all pairs."""
+    import itertools
+
+    import numpy as np
+    rng = np.random.default_rng(11)
+    sets = []
+    for n in range(60):
+        base = rng.choice(60, rng.integers(1, 30), replace=False)
+        sets += [base, np.union1d(base[rng.random(len(base)) < 0.9], rng.choice(60, 2)), base[:max(1, len(base) - 2)]]
+    own = rng.integers(0, 40, len(sets))
+    rows = [(i, int(own[i]), bytearray(np.unique(x).astype(np.int64).tobytes())) for i, x in enumerate(sets)]
+    table = spark.createDataFrame(rows, "doc_id long, own long, shingles binary")
+    got = {(r["a"], r["b"]) for r in near_dedup.prefix_pairs(table, Scratch(spark, "pairs"), 75, 100).collect()}
+    sets = [set(x.tolist()) for x in sets]
+    want = {(i, j) for i, j in itertools.combinations(range(len(sets)), 2)
+            if own[i] != own[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert len(want) > 100 and want <= got
+
+
+def test_a_shared_line_leads_to_few_pairs(spark):
+    """20,000 short texts that share a line, and a few near copies of them."""
+    rows = [(n, " ".join([f"own{n}x{j}" for j in range(4)] + [f"line{j}" for j in range(10)])) for n in range(20_000)]
+    rows += [(20_000 + n, rows[n][1] + " end") for n in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    sets = near_dedup.sketch_documents(docs, "doc_id", "text", 5, 192, 6).select("doc_id", F.col("doc_id").alias("own"), F.col("small").alias("shingles"))
+    pairs = near_dedup.prefix_pairs(sets, Scratch(spark, "line"), 75, 100)
+    assert pairs.count() < 1000
+    got = {(r["doc_id"], r["component_id"]) for r in near_duplicates(docs).collect()}
+    assert got == {(n, n if n < 20_000 else n - 20_000) for n in range(20_050)}
+
+
 def test_near_dedup_of_very_small_sets(spark):
     """Texts of 7 and 8 words at similarity 0.75; no band of either pair agrees."""
     rows = []
