@@ -152,7 +152,7 @@ DISABILITY_TYPES = [(1, "Visual impairment"), (2, "Hearing loss"), (3, "Walking
                     (4, "Difficulty remembering"), (5, "Self care difficulty"), (6, "Communication difficulty")]
 IDENTITY_TYPES = [(1, "National ID"), (2, "Passport"), (3, "Student Pass"), (4, "Work permit"), (5, "Refugee card")]
 ENROLMENT_TYPES = [(1, "New"), (2, "Continuing"), (3, "Baseline")]
-IDENTITY_EVENT = {"view": 1, "login": 2, "purchase": 3, "click": 4, "error": 5}
+IDENTITY_EVENT = {"view": 1, "signup": 2, "purchase": 3, "click": 4, "error": 5}
 
 
 def enrolment_lookups(spark: SparkSession) -> dict[str, DataFrame]:

@@ -75,7 +75,7 @@ def infrastructure_fact(raw: DataFrame, school_dim: DataFrame, type_dim: DataFra
     typ = type_dim.select(F.col("source_id").alias("building_id"), F.col("type_name").alias("infra_type_name"))
     r = raw.where(F.col("school_id").isNotNull() & F.col("building_id").isNotNull()
                   & F.col("academic_year").isNotNull())
-    x = (r.join(sch, F.col("school_id").cast("int") == F.col("__s"))
+    x = (r.join(sch, F.col("school_id").cast("long") == F.col("__s").cast("long"))
           .join(F.broadcast(typ), "building_id")
           .join(F.broadcast(terms), ["academic_year", "term"], "left"))
     x = x.withColumn("term_date", F.coalesce("term_start_date", F.make_date("academic_year", F.lit(2), F.lit(1))))
