@@ -405,3 +405,33 @@ def q_stream_latest(spark, base):
     orders.where(F.col("o_orderkey") % 2 == 1).write.parquet(f"{root}/source/part=1")
     run_latest(spark, f"{root}/source", orders.schema, "o_custkey", "o_orderdate", root)
     return run_latest(spark, f"{root}/source", orders.schema, "o_custkey", "o_orderdate", root)
+
+
+# --- SRC-04 / SRC-05 / SNK-01: resumed copies, versions, changing schemas ----------
+
+@query("copy_resumed", sql="SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def q_copy_resumed(spark, base):
+    """SRC-04: orders copied in key ranges; the copy stops after three chunks
+    and is resumed from its ledger."""
+    from tessera.sources import copy as C
+    orders = Tables(spark, base).orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    target = f"{checkpoint_dir(spark).rstrip('/')}/copies/{uuid.uuid4().hex[:12]}"
+    C.copy_in_chunks(orders, "o_orderkey", target, chunks=8, at_most=3)
+    C.copy_in_chunks(orders, "o_orderkey", target, chunks=8)
+    return C.copied(spark, orders, target)
+
+
+@query("reload_versions", sql="""SELECT 1 AS version_no, CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, CAST(NULL AS DOUBLE) AS s_acctbal FROM supplier
+UNION ALL SELECT 2, CAST(s_suppkey AS BIGINT), upper(s_name), s_acctbal FROM supplier""")
+def q_reload_versions(spark, base):
+    """SNK-01 / SRC-05: a reload that reads the version before, with a column
+    more and a wider key; both versions are read as the newest schema."""
+    from tessera.sources import versions as W
+    root = f"{checkpoint_dir(spark).rstrip('/')}/versions/{uuid.uuid4().hex[:12]}"
+    s = Tables(spark, base).supplier
+    W.reload(s.select(F.col("s_suppkey").cast("int").alias("s_suppkey"), "s_name"), root, "supplier")
+    first = W.newest(spark, root, "supplier").select(F.col("s_suppkey").cast("long").alias("s_suppkey"), F.upper("s_name").alias("s_name"))
+    W.reload(first.join(s.select(F.col("s_suppkey").cast("long").alias("s_suppkey"), "s_acctbal"), "s_suppkey"), root, "supplier")
+    names = [path.rpartition("/")[2] for path, complete in W.versions(spark, root, "supplier") if complete]
+    number = F.when(F.col("version") == names[0], 1).otherwise(2)
+    return W.all_versions(spark, root, "supplier").select(number.alias("version_no"), "s_suppkey", "s_name", "s_acctbal")

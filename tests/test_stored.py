@@ -15,6 +15,7 @@ from tessera.operators.stored import StoredTable
 from tessera.operators.stored_dim import StoredDimension
 from tessera.plans.marts import infrastructure as IN
 from tessera.session import checkpoint_dir
+from tessera.sources import copy, versions
 from tessera.streaming.latest import latest_watermark, run_latest
 
 SCHEMA = "k long, y int, v string, kept string"
@@ -219,3 +220,48 @@ def test_stream_of_newest_rows(spark):
     for _ in range(2):
         assert rows_of(run_latest(spark, f"{root}/in", schema, "k", "ts", root)) == want
     assert latest_watermark(spark, root).collect()[0][0] == day(9)
+
+
+# --- copies, versions, schemas -----------------------------------------------------
+
+def test_copy_resumes_where_it_stopped(spark):
+    target = f"{checkpoint_dir(spark)}/copy-{uuid.uuid4().hex}"
+    source = spark.createDataFrame([(5 if i < 400 else i, f"v{i}") for i in range(1000)] + [(None, "null"), (-3, "low")], "k long, v string")
+    left = copy.copy_in_chunks(source, "k", target, chunks=10, at_most=2)
+    first = {tuple(r) for r in copy.ledger(spark, target).collect()}
+    assert len(first) == 2 and left > 2 and copy.copied(spark, source, target).count() < 1002
+    assert copy.copy_in_chunks(source, "k", target, chunks=3) == 0          # the plan of the first run holds
+    assert first < {tuple(r) for r in copy.ledger(spark, target).collect()}
+    assert rows_of(copy.copied(spark, source, target)) == rows_of(source)
+    assert copy.copy_in_chunks(source, "k", target) == 0
+    empty = spark.createDataFrame([], source.schema)
+    assert copy.copy_in_chunks(empty, "k", f"{target}-none", chunks=4) == 0 and copy.copied(spark, empty, f"{target}-none").count() == 0
+
+
+def test_versions(spark):
+    root = f"{checkpoint_dir(spark)}/versions-{uuid.uuid4().hex}"
+    with pytest.raises(FileNotFoundError):
+        versions.newest(spark, root, "t")
+    for n in range(1, 5):
+        versions.reload(spark.range(n), root, "t")
+    # A version whose write was cut off has no success marker.
+    unfinished = versions.reload(spark.range(100), root, "t")
+    fs, marker = versions._fs(spark, f"{unfinished}/_SUCCESS")
+    fs.delete(marker, False)
+    assert versions.newest(spark, root, "t").count() == 4
+    versions.reload(versions.newest(spark, root, "t").union(spark.range(1)), root, "t")     # reads the version before
+    assert versions.newest(spark, root, "t").count() == 5
+    assert unfinished in versions.prune(spark, root, "t", keep=2)
+    assert [c for _, c in versions.versions(spark, root, "t")] == [True, True] and versions.newest(spark, root, "t").count() == 5
+
+
+def test_schema_changes(spark):
+    of = lambda text: spark.createDataFrame([], text).schema
+    old, new = of("a int, b string, c date, d double"), of("a bigint, b int, c date, e string")
+    assert versions.schema_changes(old, new) == [("a", "WIDENED", "int", "bigint"), ("b", "CHANGED", "string", "int"), ("d", "REMOVED", "double", None),
+                                                 ("e", "ADDED", None, "string")]
+    assert versions.discovered(spark, old, new).count() == 4
+    rows = spark.createDataFrame([(1, "x")], "a int, b string")
+    assert versions.aligned(rows, of("b string, a bigint, z date")).collect() == [("x", 1, None)]
+    with pytest.raises(ValueError):
+        versions.aligned(rows, of("a int, b int"))
