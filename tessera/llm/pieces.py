@@ -1,20 +1,19 @@
 """A SentencePiece vocabulary and its batched numpy Viterbi.
 
 Encoding: spaces become the marker U+2581 and one marker is put in front. No
-piece has a marker after another character, so the best segmentation of a text
-is that of its segments (markers and what follows them) side by side. Distinct
+piece has a marker after another character, so the segmentation of a text is
+that of its segments (markers and what follows them) side by side. Distinct
 segments of equal length advance together: substrings of all lengths are hashed
 from one running sum, the hashes probe the sorted piece keys, and at each
-position one vectorised maximum over the piece lengths stores score and
-backpointer. A character no piece covers costs the unknown score and is written
-as its bytes.
-
-Of segmentations of equal score the one with the longer last piece wins.
-
-The scores of a BPE model are merge ranks, and the best sum of them is not that
-model's encoding. ``merge_batch`` gives the model's own ids: in each round the
-best adjacent pair of every segment of a batch, the leftmost of equal ones, is
-merged, until no pair is a piece.
+position one vectorised maximum over the piece lengths stores the backpointer.
+
+The scores of a BPE model are merge ranks, whose best sum is not the model's
+encoding. What the maximum is taken over are therefore the pieces that the model
+itself can end a prefix with: a prefix has one encoding, so its last piece is
+one, and a piece may follow the one before it if no merge would join their
+edges while the two are built (``_apart``). Of such pieces the longest is taken;
+there is one. A character no piece covers is written as its bytes, and nothing
+merges across it. Very long segments are merged alone, by a heap.
 """
 
 from __future__ import annotations
@@ -26,7 +25,6 @@ import numpy as np
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
-UNKNOWN_PENALTY = 10.0
 CELLS = 1 << 16         # characters of a batch of equal-length segments
 LONG = 256              # characters from which a segment is merged alone, by a heap
 MEMO = 150_000          # segments remembered per worker process: about 40 MB
@@ -46,8 +44,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-def _key(raw: np.ndarray, length: int) -> np.ndarray:
-    x = (raw + _U(length)) * _U(0xD6E8FEB86659FD93)
+def _key(raw: np.ndarray, length) -> np.ndarray:
+    x = (raw + (_U(length) if isinstance(length, int) else length)) * _U(0xD6E8FEB86659FD93)
     x ^= x >> _U(32)
     return x * _U(0xD6E8FEB86659FD93)
 
@@ -80,8 +78,9 @@ class Vocabulary:
             raise ValueError("the vocabulary has no byte pieces")
         self.longest = max(len(pieces[i]) for i in normal)
         scores = np.array([sp.get_score(i) for i in normal], np.float64)
-        self.unknown = float(scores.min()) - UNKNOWN_PENALTY
-        keys = np.array([_key(self._sums(np.array([[ord(c) for c in pieces[i]]]))[:, -1], len(pieces[i]))[0] for i in normal], np.uint64)
+        sizes = np.array([len(pieces[i]) for i in normal], np.int64)
+        raw = np.array([self._sums(np.array([[ord(c) for c in pieces[i]]]))[0, -1] for i in normal], np.uint64)
+        keys = _key(raw, sizes.astype(np.uint64))
         order = np.argsort(keys)
         self.keys, self.ids, self.scores = keys[order], np.array(normal, np.int32)[order], scores[order]
         if (self.keys[1:] == self.keys[:-1]).any():
@@ -90,7 +89,25 @@ class Vocabulary:
         self.present[self.keys >> _U(44)] = True
         self.ranks = np.append(self.scores, -np.inf)            # the last one for no piece (-1)
         self.memo: dict[str, bytes] = {}
-        self.merged: dict[str, bytes] = {}
+        self.raw, self.size, self.power = raw[order], sizes[order], _powers(_BASE, self.longest + 1)
+        self._take_apart([pieces[i] for i in self.ids])
+
+    def _take_apart(self, names: list[str]) -> None:
+        """What the last merge of each piece joined, when it was made (merge
+        rank; -1 for characters) and whether merges give it at all."""
+        n = len(names)
+        self.left, self.right = np.full(n, -1, np.int32), np.full(n, -1, np.int32)
+        self.made, self.whole = np.where(self.size > 1, -self.scores, -1.0), np.zeros(n, bool)
+        for length in np.unique(self.size).tolist():
+            at = np.flatnonzero(self.size == length)
+            codes = np.array([[ord(c) for c in names[i]] for i in at], np.int64)
+            halves = np.zeros(len(at), np.int64)
+            out = self.merge(codes, halves)
+            self.whole[at] = [len(x) == 4 for x in out]
+            found = self._found(codes)
+            rows = np.flatnonzero(self.whole[at] & (length > 1))
+            self.left[at[rows]] = found[halves[rows] - 1, rows, 0]
+            self.right[at[rows]] = found[length - halves[rows] - 1, rows, halves[rows]]
 
     @staticmethod
     def _sums(codes: np.ndarray) -> np.ndarray:
@@ -116,25 +133,59 @@ class Vocabulary:
             found[k - 1, r[hit], s[hit]] = at[hit]
         return found
 
+    def _joined(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Merge rank of the piece that x and y make together, or infinity."""
+        size = self.size[x] + self.size[y]
+        key = _key(self.raw[x] + self.power[self.size[x]] * self.raw[y], size.astype(np.uint64))
+        rank = np.full(len(x), np.inf)
+        maybe = np.flatnonzero(self.present[key >> _U(44)] & (size <= self.longest))
+        at = np.minimum(np.searchsorted(self.keys, key[maybe]), len(self.keys) - 1)
+        hit = self.keys[at] == key[maybe]
+        rank[maybe[hit]] = -self.scores[at[hit]]
+        return rank
+
+    def _apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether merges leave piece x beside piece y. The two are taken apart
+        again, the one made later first; at no time may their edges make a piece
+        of a lower rank than the merge that ends that time. Of equal ranks the
+        left merge comes first: that of the edges, where y's side ends the time."""
+        ok = np.ones(len(x), bool)
+        live, end, tie = np.arange(len(x)), np.full(len(x), np.inf), np.zeros(len(x), bool)
+        while len(live):
+            rank = self._joined(x, y)
+            crossing = (rank < end) | tie & (rank == end) & (rank < np.inf)
+            ok[live[crossing]] = False
+            from_x, from_y = self.made[x], self.made[y]
+            by_x = from_x > from_y
+            on = ~crossing & (np.maximum(from_x, from_y) >= 0)
+            end, tie = np.where(by_x, from_x, from_y)[on], ~by_x[on]
+            x, y = np.where(by_x, self.right[x], x)[on], np.where(by_x, y, self.left[y])[on]
+            live = live[on]
+        return ok
+
     def viterbi(self, codes: np.ndarray) -> list[bytes]:
         """Piece ids (little-endian int32) of each row of an array of code
         points: rows are segments of one length and advance together."""
         rows, n = codes.shape
         found = self._found(codes)
+        if n >= LONG:
+            return [self._pieces(codes[r], found[:, r], self._merge_alone(found[:, r])) for r in range(rows)]
         longest = len(found)
-        gain = np.where(found >= 0, self.scores[found], -np.inf)
-        gain[0][found[0] < 0] = self.unknown
-        best = np.full((rows, n + 1), -np.inf)
-        best[:, 0] = 0
+        last = np.full((rows, n + 1), -1, np.int32)
         step = np.zeros((rows, n + 1), np.int8 if longest < 128 else np.int32)
         every = np.arange(rows)
         for end in range(1, n + 1):
-            top = min(longest, end)
-            lengths = np.arange(top, 0, -1)                     # the longest first: it wins ties
-            score = best[:, end - lengths] + gain[lengths - 1, :, end - lengths].T
-            pick = score.argmax(axis=1)
-            best[:, end] = score[every, pick]
-            step[:, end] = lengths[pick]
+            lengths = np.arange(1, min(longest, end) + 1)
+            at = found[lengths - 1, :, end - lengths]
+            k, r = np.nonzero((at >= 0) & self.whole[at])
+            place, before = at[k, r], last[r, end - lengths[k]]
+            free = before < 0                                   # a start, or after a character no piece covers
+            fits = free.copy()
+            fits[~free] = self._apart(before[~free], place[~free])
+            best = np.ones(rows, np.int64)                      # a character no piece covers stands alone
+            np.maximum.at(best, r[fits], lengths[k[fits]])
+            step[:, end] = best
+            last[:, end] = found[best - 1, every, end - best]
         return self._paths(codes, found, step)
 
     def _paths(self, codes: np.ndarray, found: np.ndarray, step: np.ndarray) -> list[bytes]:
@@ -167,13 +218,12 @@ class Vocabulary:
             end -= k
         return np.array(out[::-1], "<i4").tobytes()
 
-    def merge(self, codes: np.ndarray) -> list[bytes]:
-        """Piece ids of each row by merges. All rows that still merge have as
-        many parts, as each loses one a round."""
+    def merge(self, codes: np.ndarray, halves: np.ndarray) -> list[bytes]:
+        """Piece ids of each row by merges; ``halves`` gets where the last merge
+        of a row joined. All rows that still merge have as many parts, as each
+        loses one a round."""
         rows, n = codes.shape
         found = self._found(codes)
-        if n >= LONG:
-            return [self._pieces(codes[r], found[:, r], self._merge_alone(found[:, r])) for r in range(rows)]
 
         def rank(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
             k = end - start
@@ -191,6 +241,8 @@ class Vocabulary:
                 live, cuts, pairs, best = live[on], cuts[on], pairs[on], best[on]
             if not len(live):
                 return out
+            if cuts.shape[1] == 3:
+                halves[live] = cuts[:, 1]
             every, m = np.arange(len(live)), pairs.shape[1]
             keep = np.ones(cuts.shape, bool)
             keep[every, best + 1] = False
@@ -241,9 +293,9 @@ class Vocabulary:
             out.extend([int(self.ids[at])] if at >= 0 else [int(self.byte_ids[b]) for b in chr(int(codes[start])).encode()])
         return np.array(out, "<i4").tobytes()
 
-    def learn(self, wanted: set[str], memo: dict[str, bytes], encode) -> None:
+    def learn(self, wanted: set[str]) -> None:
         """Encode segments that are not remembered yet, batched by length."""
-        new = [s for s in wanted if s not in memo]
+        new = [s for s in wanted if s not in self.memo]
         new.sort(key=len)
         lo = 0
         while lo < len(new):
@@ -252,22 +304,16 @@ class Vocabulary:
             while hi < len(new) and len(new[hi]) == n and (hi - lo) * n < CELLS:
                 hi += 1
             codes = np.frombuffer("".join(new[lo:hi]).encode("utf-32-le"), "<u4").reshape(hi - lo, n)
-            memo.update(zip(new[lo:hi], encode(codes)))
+            self.memo.update(zip(new[lo:hi], self.viterbi(codes)))
             lo = hi
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Piece ids of whole texts, as little-endian int32 bytes."""
-        return self._batch(texts, self.memo, self.viterbi)
-
-    def merge_batch(self, texts: list[str]) -> list[bytes]:
-        """The ids the BPE model itself gives whole texts, in the same form."""
-        return self._batch(texts, self.merged, self.merge)
-
-    def _batch(self, texts: list[str], memo: dict[str, bytes], encode) -> list[bytes]:
+        """The ids the model itself gives whole texts, as little-endian int32."""
+        memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
         cut = [segments(t) for t in texts]
-        self.learn({s for parts in cut for s in parts}, memo, encode)
+        self.learn({s for parts in cut for s in parts})
         return [b"".join([memo[s] for s in parts]) for parts in cut]
 
     def decode(self, ids: bytes) -> str:

@@ -74,7 +74,7 @@ def decoded(docs: DataFrame, model: bytes, ids_col: str = "piece_ids", text_col:
 
 
 def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_pieces, ids_sha256 (of the BPE model's own ids as
+    """Per row: id, n_pieces, ids_sha256 (of the model's own ids as
     little-endian int32) and whether decoding gives the text back."""
     schema = StructType([StructField("doc_id", LongType()), StructField("n_pieces", LongType()),
                          StructField("ids_sha256", StringType()), StructField("round_trip", BooleanType())])
@@ -85,7 +85,7 @@ def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                ids = vocab.merge_batch(texts)
+                ids = vocab.encode_batch(texts)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
                     pa.array([sha256(x).hexdigest() for x in ids], pa.string()),
