@@ -2,9 +2,11 @@
 
 A page becomes a flat list of text blocks: block-level tags end a block, inline
 tags don't. Each block has its word count and link density, those of the
-blocks before and after it, and a few facts about where it stands. A decision
-tree, grown here from a small table of labelled blocks (``labelled_pages``),
-tells which blocks are main text.
+blocks before and after it, and a few facts about where it stands: whether it is in
+the page's main element or articles, and how much of the text they hold; in a
+part that its tag or name surely marks as a side part; in one whose name only
+may mean that ("social history"). A decision tree, grown here from a small
+table of labelled blocks (``labelled_pages``), tells which blocks are main text.
 
 Nothing is shuffled: pages are parsed one at a time inside Arrow tasks, each
 in time linear in its length. A null page is an empty one. Broken markup never
@@ -37,6 +39,11 @@ SIDE_NAMES = re.compile(rf"""(?ix)(?<![a-z])(?<!with-)(?<!has-)(?<!no-)(ads?|adv
 notice|alert|popup|modal|overlay|newsletter|subscri\w*|share|sharing|social|{COMMENT_NAMES}|sidebar|side-?bar|widget|related|
 recommend\w*|menu|nav|navbar|navigation|breadcrumbs?|footer|login|signup|sign-?in|search|pagination|pager|toolbar|copyright|
 complementary|contentinfo)(?![a-z])""")
+# Words that say nothing beside the name of a side part.
+LAYOUT_WORDS = frozenset("""a an and area articles bar block blocks body bottom box btn button buttons center col column container desktop
+dropdown fixed global group header head holder horizontal icon icons id in inner item items js left link links list local main
+message messages mobile more of off on outer page panel posts primary right row secondary section sections site slot small
+sticky sub text the title to toggle top ul unit up vertical view wrap wrapper""".split())
 COMMENTS = re.compile(rf"(?i)(?<![a-z])({COMMENT_NAMES})(?![a-z])")
 HEADERS = re.compile(r"(?i)(?<![a-z])(header|masthead)(?![a-z])")
 COMMENT_STATE = re.compile(r"(?i)(?<![^\s\"'])comments?-(?:open|closed|on|off|enabled|disabled|allowed)(?![^\s\"'])")
@@ -46,7 +53,16 @@ NAMING = re.compile(r"""(?is)\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)
 TOKEN = re.compile(r"""<!--(?P<comment>)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
                    r"""|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*+)>|<[!?][^>]*+>""")
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
-            "in_main", "in_side", "heading", "list_item")
+            "main_share", "in_side", "doubtful_name", "heading", "list_item")
+
+
+def name_strength(named: str) -> int:
+    """2: the names are those of a side part, 1: they hold such a word beside
+    words of another meaning, 0: neither."""
+    if not SIDE_NAMES.search(named):
+        return 0
+    rest = re.findall(r"[^\W\d_]+", SIDE_NAMES.sub(" ", named).lower())
+    return 2 if COMMENTS.search(named) or LAYOUT_WORDS.issuperset(rest) else 1
 
 
 def hidden(attrs: str) -> bool:
@@ -65,6 +81,7 @@ class Block:
     linked: int
     in_main: bool
     in_side: bool
+    doubtful: bool
     heading: bool
     list_item: bool
 
@@ -85,7 +102,7 @@ class _Page:
     side: int = 0
     heading: bool = False
     item: bool = False
-    named: list = field(default_factory=list)       # side by name: [outer one, depth, by a whole token, holds main, holds article]
+    named: list = field(default_factory=list)       # side by name: [outer one, depth, by a whole token, holds main, holds article, strength]
     inner: int = -1                                 # the innermost of these that is open
     within: list = field(default_factory=list)      # the innermost one of each block
     articles: list = field(default_factory=list)    # the innermost one of each article
@@ -102,7 +119,7 @@ class _Page:
         self.parts.clear()
         if words:
             self.blocks.append(Block(" ".join(words), len(words), min(self.linked, len(words)), self.main > 0, self.side > 0,
-                                     self.heading, self.item))
+                                     False, self.heading, self.item))
             self.within.append(self.inner)
         self.linked = 0
 
@@ -117,6 +134,7 @@ class _Page:
             named = " ".join(NAMING.findall(attrs))
             main = tag in MAIN_TAGS
             side = by_name = False
+            strength = 2
             if main:        # an article can be a reader's comment
                 side = bool(named and COMMENTS.search(COMMENT_STATE.sub("", named)))
                 if tag == "main":
@@ -130,10 +148,14 @@ class _Page:
                     by_name = not self.main
                 else:
                     side = tag in SIDE_TAGS or bool(attrs and hidden(attrs))
-                    by_name = not side and bool(named and SIDE_NAMES.search(named))
+                    if tag == "form" and not hidden(attrs):     # some pages are one form
+                        side, by_name = False, True
+                    elif not side:
+                        strength = name_strength(named)
+                        by_name = strength > 0
             if by_name:
-                whole = any(SIDE_NAMES.fullmatch(t) or HEADERS.fullmatch(t) for t in re.split(r"[\s\"']+", named))
-                self.named.append([self.inner, self.named[self.inner][1] + 1 if self.inner >= 0 else 1, whole, False, False])
+                whole = tag != "form" and any(SIDE_NAMES.fullmatch(t) or HEADERS.fullmatch(t) for t in re.split(r"[\s\"']+", named))
+                self.named.append([self.inner, self.named[self.inner][1] + 1 if self.inner >= 0 else 1, whole, False, False, strength])
                 self.inner = len(self.named) - 1
             self.stack.append((tag, main, side, by_name))
             self.main += main
@@ -173,11 +195,13 @@ class _Page:
         for at, d in zip(self.articles, depth):
             if d == least:
                 self._hold(at, 4)
-        side: list[bool] = []
-        for outer, _, whole, holds_main, holds_article in self.named:
-            side.append(outer >= 0 and side[outer] or not (holds_main or holds_article and not whole))
+        side: list[int] = []
+        for outer, _, whole, holds_main, holds_article, strength in self.named:
+            free = holds_main or holds_article and not whole
+            side.append(max(side[outer] if outer >= 0 else 0, 0 if free else strength))
         for block, at in zip(self.blocks, self.within):
-            block.in_side = block.in_side or at >= 0 and side[at]
+            block.in_side = block.in_side or at >= 0 and side[at] == 2
+            block.doubtful = not block.in_side and at >= 0 and side[at] == 1
 
 
 def parse_blocks(html: str) -> list[Block]:
@@ -222,12 +246,17 @@ def parse_blocks(html: str) -> list[Block]:
 
 
 def feature_rows(blocks: list[Block]) -> np.ndarray:
-    """One row of ``FEATURES`` per block; outside the page there are no words."""
+    """One row of ``FEATURES`` per block; outside the page there are no words.
+    ``main_share`` is the share of the page's words, side parts left out, that
+    its main parts hold, negative for a block outside them."""
     out = np.zeros((len(blocks), len(FEATURES)))
+    open_words = sum(b.words for b in blocks if not b.in_side)
+    share = sum(b.words for b in blocks if b.in_main and not b.in_side) / max(open_words, 1)
     for i, b in enumerate(blocks):
         before, after = blocks[i - 1] if i else None, blocks[i + 1] if i + 1 < len(blocks) else None
         out[i] = (b.words, b.link_density, before.words if before else 0, before.link_density if before else 0,
-                  after.words if after else 0, after.link_density if after else 0, b.in_main, b.in_side, b.heading, b.list_item)
+                  after.words if after else 0, after.link_density if after else 0,
+                  share if b.in_main else -share, b.in_side, b.doubtful, b.heading, b.list_item)
     return out
 
 
@@ -249,7 +278,7 @@ class Tree:
         return out
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6, least: int = 2) -> Tree:
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8, least: int = 2) -> Tree:
     """Decision tree by the largest decrease of Gini impurity; ties go to the
     first feature and the smallest threshold, so growing is deterministic."""
     label = int(labels.sum() * 2 >= len(labels))
@@ -268,7 +297,10 @@ def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6, least: int = 2) -
     if best[1] < 0:
         return Tree(label)
     goes = rows[:, best[1]] <= best[2]
-    return Tree(label, best[1], best[2], grow(rows[goes], labels[goes], depth - 1, least), grow(rows[~goes], labels[~goes], depth - 1, least))
+    left, right = (grow(rows[side], labels[side], depth - 1, least) for side in (goes, ~goes))
+    if left.feature < 0 and right.feature < 0 and left.label == right.label:
+        return Tree(left.label)
+    return Tree(label, best[1], best[2], left, right)
 
 
 def labelled_rows(pages: list[list[tuple[str, int | None]]]) -> tuple[np.ndarray, np.ndarray]:

@@ -116,6 +116,53 @@ def test_tree_on_held_out_pages():
     assert right / total >= 0.9
 
 
+def test_tree_asks_for_lengths_links_and_neighbours():
+    asked = set()
+
+    def walk(node):
+        if node.feature >= 0:
+            asked.add(main_text.FEATURES[node.feature])
+            walk(node.left), walk(node.right)
+
+    walk(main_text.trained_tree())
+    assert {"words", "link_density"} <= asked and asked & {"words_before", "words_after", "link_density_before", "link_density_after"}
+
+
+FISH = "Cod comes to the market before five and is gone by seven, says the woman who has sold it here for half of her life, "
+HELD_OUT = [    # markup without helpful names, labels by block
+    (f"<html><body><table><tr><td><a href=/>Start</a><td><a href=/o>Old issues</a></table><div>Stay in touch with all of us every day</div><h1>Cod at five</h1>"
+     f"<p>{FISH}{FISH}</p><p>So it goes.</p><p>{FISH}</p><p>{FISH} and <a href=/p>prices</a> rise.</p><div><a href=/n>On to the next one</a></div>"
+     "<div>Printed by the market press, all rights kept</div>", [0, 0, 0, 1, 1, 1, 1, 1, 0, 0]),
+    (f"<html><body><div>This site stores small files on your computer, <a href=/why>read why</a></div><div><div>{FISH}</div><div>{FISH}{FISH}</div><div>Why?</div>"
+     f"<div>{FISH}</div></div><ul><li><a href=/1>Herring in the north</a><li><a href=/2>Nets of steel</a></ul>", [0, 1, 1, 1, 1, 0, 0]),
+    (f"<html><body><div>{FISH}</div><article><h2>Cod</h2><p>Cod.</p><p>{FISH}</p><ul><li><a href=/c>The boats</a><li>The market</ul></article><div>{FISH}</div>",
+     [0, 1, 1, 1, 1, 1, 0]),
+]
+
+
+def test_tree_on_pages_without_names():
+    tree = main_text.trained_tree()
+    right = total = 0
+    for html, labels in HELD_OUT:
+        blocks = main_text.parse_blocks(html)
+        assert len(blocks) == len(labels)
+        right += int((tree.predict(main_text.feature_rows(blocks)) == labels).sum())
+        total += len(labels)
+    assert right / total >= 0.9, (right, total)
+
+
+def test_names_that_mislead_and_links_of_an_article():
+    tree = main_text.trained_tree()
+    body = "<p>" + "Some words of the story that go on for a while and then end. " * 3 + "</p>"
+    text = lambda html: main_text.page_text(html, tree)
+    story = text(f"<article>{body}{body}</article>")
+    for page in ("<article><section class='social history'>{}</section></article>", "<div id='content'><section class='search-and-rescue'>{}</section></div>",
+                 "<div class='job-notice'>{}</div>", "<form id=page><nav>menu</nav><article>{}</article></form>", "<div class=sidebar>" + body + "</div><div>{}</div>"):
+        assert text(page.format(body + body)) == story, page
+    assert text(f"<article>{body}<p><a href=x>all of it linked</a></p><ul><li><a href=y>One</a><li><a href=z>Two</a></ul><p>End.") \
+        == text(f"<article>{body}") + "\n\nall of it linked\n\nOne\n\nTwo\n\nEnd."
+
+
 def test_blocks_of_odd_markup():
     texts = lambda html: [b.text for b in main_text.parse_blocks(html)]
     assert texts("") == [] and texts("plain &amp; simple") == ["plain & simple"]
