@@ -366,23 +366,39 @@ BUILDING_UPDATES_SQL = """bsu AS (
 # ---------------------------------------------------------------------------
 TEACHER_OFFSET = 1_000_000
 TEACHER_TYPES = [(1, "LICENSED"), (2, "PROBATIONARY"), (3, "VOLUNTEER")]
-QUALIFICATIONS = [(1, "GRADE III"), (2, "GRADE V"), (3, "DEGREE"), (4, "MASTERS"), (5, "PHD")]
+QUALIFICATIONS = [(1, "GRADE III", "CERTIFICATE"), (2, "GRADE V", "DIPLOMA"), (3, "DEGREE", "GRADUATE"), (4, "MASTERS", "POSTGRADUATE"),
+                  (5, "PHD", "POSTGRADUATE")]
+DESIGNATIONS = [(1, "HEAD TEACHER"), (2, "DEPUTY HEAD TEACHER"), (3, "CLASS TEACHER")]
+EDUCATION_LEVELS = [(1, "O LEVEL"), (2, "A LEVEL"), (3, "TERTIARY"), (4, "UNIVERSITY")]
+EMPLOYMENT_STATUSES = [(1, "PERMANENT"), (2, "CONTRACT"), (3, "TEMPORARY")]
+
+
+def employment_lookups(spark: SparkSession) -> dict[str, DataFrame]:
+    return {"setting_education_levels": spark.createDataFrame(EDUCATION_LEVELS, "id long, name string"),
+            "setting_employment_statuses": spark.createDataFrame(EMPLOYMENT_STATUSES, "id long, name string")}
+
+
+EMPLOYMENT_LOOKUPS_SQL = f"""setting_education_levels AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(EDUCATION_LEVELS, ['id', 'name'])}),
+setting_employment_statuses AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(EMPLOYMENT_STATUSES, ['id', 'name'])})"""
 
 
 def teacher_lookups(spark: SparkSession) -> dict[str, DataFrame]:
     return {"setting_teacher_types": spark.createDataFrame(TEACHER_TYPES, "id long, name string"),
-            "setting_teacher_professional_qualifications": spark.createDataFrame(QUALIFICATIONS,
-                                                                                 "id long, name string")}
+            "setting_teacher_professional_qualifications": spark.createDataFrame(
+                QUALIFICATIONS, "id long, name string, qualification_category string"),
+            "setting_teaching_staff_designations": spark.createDataFrame(DESIGNATIONS, "id long, name string")}
 
 
 TEACHER_LOOKUPS_SQL = f"""setting_teacher_types AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(TEACHER_TYPES, ['id', 'name'])}),
-setting_teacher_professional_qualifications AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(QUALIFICATIONS, ['id', 'name'])})"""
+setting_teaching_staff_designations AS (SELECT CAST(id AS BIGINT) AS id, name FROM {_values(DESIGNATIONS, ['id', 'name'])}),
+setting_teacher_professional_qualifications AS (SELECT CAST(id AS BIGINT) AS id, name, qualification_category
+    FROM {_values(QUALIFICATIONS, ['id', 'name', 'qualification_category'])})"""
 
 
 def teachers_src(part: DataFrame, day: int = 1) -> DataFrame:
     """persons + teachers in one frame (person_id = part key + offset). Day 2
-    renumbers every 7th teacher (not tracked) and changes the type of every
-    9th (tracked)."""
+    renumbers every 7th teacher (not tracked), changes the type of every 9th
+    and the designation of every 10th (tracked)."""
     k = F.col("p_partkey")
     kind = F.col("p_size") % 3 + 1
     if day == 2:
@@ -401,7 +417,9 @@ def teachers_src(part: DataFrame, day: int = 1) -> DataFrame:
         (F.col("p_size") % 5 + 1).cast("long").alias("qualification_id"),
         ipps.alias("ipps_number"),
         F.when(k % 4 == 0, F.lit(None).cast("boolean")).otherwise(F.col("p_retailprice") > 1500)
-         .alias("is_on_government_payroll"))
+         .alias("is_on_government_payroll"),
+        F.when(k % 11 != 0, (F.col("p_size") % 25).cast("long")).alias("country_id"),
+        (F.when(k % 10 == 0, F.lit(day)).otherwise(F.col("p_size") % 3 + 1)).cast("long").alias("designation_id"))
 
 
 def teachers_src_sql(day: int = 1, name: str = "teachers_src") -> str:
@@ -415,19 +433,59 @@ def teachers_src_sql(day: int = 1, name: str = "teachers_src") -> str:
   make_date(CAST(1960 + p_partkey % 35 AS INTEGER), CAST(1 + p_partkey % 12 AS INTEGER), CAST(1 + p_partkey % 28 AS INTEGER)) AS birth_date,
   CAST({kind} AS BIGINT) AS teacher_type_id, CAST(p_size % 5 + 1 AS BIGINT) AS qualification_id,
   {ipps} AS ipps_number,
-  CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_retailprice > 1500 END AS is_on_government_payroll
+  CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_retailprice > 1500 END AS is_on_government_payroll,
+  CASE WHEN p_partkey % 11 <> 0 THEN CAST(p_size % 25 AS BIGINT) END AS country_id,
+  CAST(CASE WHEN p_partkey % 10 = 0 THEN {day} ELSE p_size % 3 + 1 END AS BIGINT) AS designation_id
 FROM part)"""
 
 
+RECORD_STEP = 2 ** 31   # an employee record's id: part key times this, plus supplier key
+
+
+def _employments(lineitem: DataFrame, offset: int) -> DataFrame:
+    """Employee records: one per (person, school) that ships the part, started
+    on the first shipment and last updated on the latest."""
+    part, school = F.col("l_partkey"), F.col("l_suppkey")
+    record = part.cast("long") * RECORD_STEP + school
+    one = lineitem.groupBy(part, school).agg(
+        F.count(F.lit(1)).alias("weekly_teaching_periods"),
+        F.to_date(F.min("l_shipdate")).alias("date_started"), F.to_date(F.max("l_shipdate")).alias("date_updated"))
+    return one.select(
+        record.alias("id"), (part + offset).alias("person_id"), school.alias("school_id"), "date_started", F.col("date_started").alias("date_created"),
+        "date_updated", "weekly_teaching_periods", F.concat(F.lit("HR"), record.cast("string")).alias("hrin"),
+        F.when(school % 2 == 0, F.concat(F.lit("IPPS-E"), part.cast("string"))).alias("ipps_number"),
+        F.when(school % 3 != 0, (part + school) % 2 == 0).alias("is_on_government_payroll"),
+        ((part + school) % 4 + 1).cast("long").alias("highest_education_level_id"),
+        (school % 4).cast("long").alias("employment_status_id"))
+
+
+def _employments_sql(name: str, offset: int) -> str:
+    return f"""{name} AS (SELECT l_partkey * {RECORD_STEP} + l_suppkey AS id, l_partkey + {offset} AS person_id,
+  l_suppkey AS school_id, CAST(min(l_shipdate) AS DATE) AS date_started, CAST(min(l_shipdate) AS DATE) AS date_created,
+  CAST(max(l_shipdate) AS DATE) AS date_updated, count(*) AS weekly_teaching_periods,
+  'HR' || CAST(l_partkey * {RECORD_STEP} + l_suppkey AS VARCHAR) AS hrin,
+  CASE WHEN l_suppkey % 2 = 0 THEN 'IPPS-E' || CAST(l_partkey AS VARCHAR) END AS ipps_number,
+  CASE WHEN l_suppkey % 3 <> 0 THEN (l_partkey + l_suppkey) % 2 = 0 END AS is_on_government_payroll,
+  CAST((l_partkey + l_suppkey) % 4 + 1 AS BIGINT) AS highest_education_level_id, CAST(l_suppkey % 4 AS BIGINT) AS employment_status_id
+FROM lineitem GROUP BY l_partkey, l_suppkey)"""
+
+
 def school_employees(lineitem: DataFrame) -> DataFrame:
-    """One employment per (teacher, school) that ships the part; started on the first shipment."""
-    return lineitem.groupBy((F.col("l_partkey") + TEACHER_OFFSET).alias("person_id"),
-                            F.col("l_suppkey").alias("school_id")) \
-                   .agg(F.to_date(F.min("l_shipdate")).alias("date_started"))
+    """The employee records of teachers."""
+    return _employments(lineitem, TEACHER_OFFSET)
+
+
+SCHOOL_EMPLOYEES_SQL = _employments_sql("school_employees", TEACHER_OFFSET)
+
+
+def teacher_documents(lineitem: DataFrame) -> DataFrame:
+    """Identity documents of teachers; some are of types without an entry."""
+    return lineitem.select((F.col("l_partkey") + TEACHER_OFFSET).alias("person_id"), F.col("l_linenumber").cast("long").alias("identity_type_id"),
+                           F.concat(F.lit("T"), F.col("l_orderkey").cast("string")).alias("document_id"))
 
 
-SCHOOL_EMPLOYEES_SQL = f"""school_employees AS (SELECT l_partkey + {TEACHER_OFFSET} AS person_id, l_suppkey AS school_id,
-  CAST(min(l_shipdate) AS DATE) AS date_started FROM lineitem GROUP BY 1, 2)"""
+TEACHER_DOCUMENTS_SQL = f"""teacher_documents AS (SELECT l_partkey + {TEACHER_OFFSET} AS person_id, CAST(l_linenumber AS BIGINT) AS identity_type_id,
+  'T' || CAST(l_orderkey AS VARCHAR) AS document_id FROM lineitem)"""
 
 
 def teacher_subjects(lineitem: DataFrame) -> DataFrame:
@@ -463,11 +521,12 @@ setting_non_teaching_staff_roles AS (SELECT CAST(id AS BIGINT) AS id, name, CAST
 
 def nts_src(part: DataFrame, lineitem: DataFrame, day: int = 1) -> DataFrame:
     """non_teaching_staff + person fields; current school = smallest supplier
-    shipping the part. Day 2 moves every 5th staff member to role 1 (tracked)
+    shipping the part; every 10th has no employee record. Day 2 moves every 5th staff member to role 1 (tracked)
     and renames every 8th (not tracked)."""
     k = F.col("p_partkey")
     first_school = lineitem.groupBy(F.col("l_partkey").alias("p_partkey")) \
-        .agg(F.min("l_suppkey").alias("current_school_id"))
+        .agg(F.min("l_suppkey").alias("current_school_id"),
+             (F.first("l_partkey").cast("long") * RECORD_STEP + F.max("l_suppkey")).alias("__record"))
     role = (F.col("p_size") % 6 + 1)
     surname = F.split_part("p_name", F.lit(" "), F.lit(1))
     if day == 2:
@@ -483,7 +542,10 @@ def nts_src(part: DataFrame, lineitem: DataFrame, day: int = 1) -> DataFrame:
         "current_school_id",
         (F.col("p_size") % 4 + 1).cast("long").alias("non_teaching_staff_category_id"),
         role.cast("long").alias("non_teaching_staff_role_id"),
-        F.make_date((1990 + k % 10).cast("int"), F.lit(1), F.lit(10)).alias("appointment_date"))
+        F.make_date((1990 + k % 10).cast("int"), F.lit(1), F.lit(10)).alias("appointment_date"),
+        F.when(k % 10 != 0, F.col("__record")).alias("employee_id"),
+        F.when(k % 11 != 0, (F.col("p_size") % 25).cast("long")).alias("country_id"),
+        F.when(k % 4 != 0, F.concat(F.lit("CM"), k.cast("string"))).alias("id_number"))
 
 
 def nts_src_sql(day: int = 1, name: str = "nts_src") -> str:
@@ -497,18 +559,18 @@ def nts_src_sql(day: int = 1, name: str = "nts_src") -> str:
        CAST(1 + p.p_partkey % 12 AS INTEGER), 15) END AS birth_date,
   f.current_school_id, CAST(p.p_size % 4 + 1 AS BIGINT) AS non_teaching_staff_category_id,
   CAST({role} AS BIGINT) AS non_teaching_staff_role_id,
-  make_date(CAST(1990 + p.p_partkey % 10 AS INTEGER), 1, 10) AS appointment_date
-FROM part p LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS current_school_id FROM lineitem GROUP BY l_partkey) f
+  make_date(CAST(1990 + p.p_partkey % 10 AS INTEGER), 1, 10) AS appointment_date,
+  CASE WHEN p.p_partkey % 10 <> 0 THEN f.record END AS employee_id,
+  CASE WHEN p.p_partkey % 11 <> 0 THEN CAST(p.p_size % 25 AS BIGINT) END AS country_id,
+  CASE WHEN p.p_partkey % 4 <> 0 THEN 'CM' || CAST(p.p_partkey AS VARCHAR) END AS id_number
+FROM part p LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS current_school_id, l_partkey * {RECORD_STEP} + max(l_suppkey) AS record
+                       FROM lineitem GROUP BY l_partkey) f
   ON f.l_partkey = p.p_partkey)"""
 
 
 def nts_employees(lineitem: DataFrame) -> DataFrame:
-    """Employee records: one per (staff, school) that ships the part, last
-    updated on the latest shipment."""
-    return lineitem.groupBy((F.col("l_partkey") + NTS_OFFSET).alias("person_id"), F.col("l_suppkey").alias("school_id")) \
-             .agg(F.to_date(F.min("l_shipdate")).alias("date_created"), F.to_date(F.max("l_shipdate")).alias("date_updated"))
+    """The employee records of non-teaching staff."""
+    return _employments(lineitem, NTS_OFFSET)
 
 
-NTS_EMPLOYEES_SQL = f"""nts_employees AS (SELECT l_partkey + {NTS_OFFSET} AS person_id, l_suppkey AS school_id,
-  CAST(min(l_shipdate) AS DATE) AS date_created, CAST(max(l_shipdate) AS DATE) AS date_updated
-  FROM lineitem GROUP BY 1, 2)"""
+NTS_EMPLOYEES_SQL = _employments_sql("nts_employees", NTS_OFFSET)

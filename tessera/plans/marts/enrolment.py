@@ -41,12 +41,17 @@ def like_any(col, patterns: list[str]):
     return functools.reduce(operator.or_, [col.like(p) for p in patterns])
 
 
+def pivoted_documents(docs: DataFrame, doc_types: DataFrame, patterns: dict) -> DataFrame:
+    """One row per person: the largest document id of each kind of document."""
+    t = F.broadcast(doc_types.select(F.col("id").alias("identity_type_id"), F.upper("name").alias("__t")))
+    return docs.join(t, "identity_type_id").groupBy("person_id").agg(
+        *[F.max(F.when(like_any(F.col("__t"), p), F.col("document_id"))).alias(n) for n, p in patterns.items()])
+
+
 def learners_raw(persons: DataFrame, learners: DataFrame, docs: DataFrame, doc_types: DataFrame,
                  countries: DataFrame) -> DataFrame:
     """M-E0a: live learners with names, nationality and pivoted identity documents."""
-    t = F.broadcast(doc_types.select(F.col("id").alias("identity_type_id"), F.upper("name").alias("__t")))
-    piv = docs.join(t, "identity_type_id").groupBy("person_id").agg(
-        *[F.max(F.when(like_any(F.col("__t"), p), F.col("document_id"))).alias(n) for n, p in IDENTITY_PATTERNS.items()])
+    piv = pivoted_documents(docs, doc_types, IDENTITY_PATTERNS)
     live = learners.where(F.col("deleted_at").isNull())
     c = countries.select(F.col("n_nationkey").cast("long").alias("country_id"), F.col("n_name").alias("__country"))
     x = (persons.join(live, persons["id"] == live["person_id"])

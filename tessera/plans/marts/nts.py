@@ -10,28 +10,30 @@ from tessera.operators import scd2
 from tessera.operators.dedupe import pick_one
 from tessera.operators.facts import load_fact_earliest
 from tessera.operators.joins import expand_over
+from tessera.plans.marts.teachers import decoded, employment
 from tessera.session import materialize
 
 # The columns whose change opens a staff version; the others are carried.
-NTS_TRACKED = ["gender", "staff_category", "staff_role"]
-NTS_EXTRA = ["surname", "given_name", "school_id"]
+NTS_TRACKED = ["gender", "staff_category", "staff_role", "highest_education_level", "employment_status", "is_on_government_payroll"]
+NTS_EXTRA = ["surname", "given_name", "nationality", "nin", "ipps_number", "hrin", "school_id"]
 FACT_KEY = ["person_id", "school_id", "academic_year", "term"]
 
 
-def nts_raw(src: DataFrame, employees: DataFrame, categories: DataFrame, roles: DataFrame) -> DataFrame:
-    """M-N0: latest employee record per person (GREATEST of its dates), school
-    from the record else the staff row's current school."""
-    e = employees.withColumn("__last", F.greatest("date_created", "date_updated"))
-    latest = pick_one(e, ["person_id"], [("__last", "desc", "last"), ("school_id", "desc")], ["school_id"]) \
-        .withColumnRenamed("school_id", "__emp_school")
-    c = F.broadcast(categories.select(F.col("id").alias("non_teaching_staff_category_id"),
-                                      F.col("name").alias("staff_category")))
-    r = F.broadcast(roles.select(F.col("id").alias("non_teaching_staff_role_id"), F.col("name").alias("staff_role")))
-    x = src.join(latest, "person_id", "left").join(c, "non_teaching_staff_category_id", "left") \
-           .join(r, "non_teaching_staff_role_id", "left")
-    return x.select("person_id", "surname", rules.given_name("first_name", F.lit(None).cast("string")).alias("given_name"),
-                    "gender", "birth_date", "staff_category", "staff_role", "appointment_date",
-                    F.coalesce("__emp_school", "current_school_id").alias("school_id"))
+def nts_raw(src: DataFrame, employees: DataFrame, countries: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
+    """M-N0: each staff row with the employee record it names, one row per
+    person (the record updated last); school from the record else the staff
+    row's current school; off the payroll where no record says otherwise."""
+    x = decoded(src, "non_teaching_staff_category_id", lookups["setting_non_teaching_staff_categories"], "staff_category")
+    x = decoded(x, "non_teaching_staff_role_id", lookups["setting_non_teaching_staff_roles"], "staff_role")
+    c = countries.select(F.col("n_nationkey").cast("long").alias("country_id"), F.col("n_name").alias("__country"))
+    x = x.join(c, "country_id", "left").join(employment(employees, lookups, "employee_id"), "employee_id", "left")
+    x = x.select("person_id", "employee_id", "surname", rules.given_name("first_name", F.lit(None).cast("string")).alias("given_name"),
+                 "gender", "birth_date", rules.nationality("__country").alias("nationality"), F.col("id_number").alias("nin"),
+                 "staff_category", "staff_role", "appointment_date", "highest_education_level", "employment_status",
+                 F.coalesce("__e_payroll", F.lit(False)).alias("is_on_government_payroll"), F.col("__e_ipps").alias("ipps_number"), "hrin",
+                 F.coalesce("__e_school", "current_school_id").alias("school_id"), "date_updated")
+    return pick_one(x, ["person_id"], [("date_updated", "desc", "last"), ("employee_id", "desc", "last")],
+                    [c for c in x.columns if c not in ("person_id", "date_updated", "employee_id")] + ["employee_id"])
 
 
 def flatten_nts(raw: DataFrame, calendar: DataFrame, years: DataFrame, periods: DataFrame, as_of) -> DataFrame:
@@ -51,7 +53,8 @@ def flatten_nts(raw: DataFrame, calendar: DataFrame, years: DataFrame, periods:
     day = F.to_date(F.lit(as_of))
     return x.select("person_id", "school_id", "academic_year", "term", "term_start_date", "surname", "given_name",
                     "gender", F.when(F.col("birth_date").isNotNull(), rules.age_years("birth_date", day)).alias("age"),
-                    "staff_category", "staff_role", "appointment_date")
+                    "nationality", "nin", "staff_category", "staff_role", "appointment_date", "employee_id", "highest_education_level",
+                    "employment_status", "is_on_government_payroll", "ipps_number", "hrin")
 
 
 def nts_dim(dim: DataFrame | None, flat: DataFrame, as_of) -> DataFrame:

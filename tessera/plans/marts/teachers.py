@@ -11,22 +11,53 @@ from tessera.operators import scd2
 from tessera.operators.dedupe import pick_one
 from tessera.operators.facts import load_fact_fallback
 from tessera.operators.joins import or_join_terms
+from tessera.plans.marts.enrolment import IDENTITY_PATTERNS, pivoted_documents
 from tessera.session import materialize
 
 # The columns whose change opens a teacher version; the others are carried.
-TEACHER_TRACKED = ["gender", "qualification", "teacher_type", "is_on_government_payroll", "discipline"]
-TEACHER_EXTRA = ["surname", "given_name", "ipps_number"]
+TEACHER_TRACKED = ["gender", "qualification", "qualification_category", "teacher_type", "designation", "highest_education_level",
+                   "is_on_government_payroll", "discipline"]
+TEACHER_EXTRA = ["surname", "given_name", "nationality", "nin", "passport_no", "ipps_number", "hrin", "employment_status"]
+TEACHER_DOCUMENTS = {n: IDENTITY_PATTERNS[n] for n in ("nin", "passport_no")}
 FACT_KEY = ["person_id", "school_id", "academic_year", "term"]
 
 
-def teachers_raw(src: DataFrame, types: DataFrame, quals: DataFrame) -> DataFrame:
-    """M-T0a: names, nationality default and decoded type/qualification."""
-    t = F.broadcast(types.select(F.col("id").alias("teacher_type_id"), F.col("name").alias("teacher_type")))
-    q = F.broadcast(quals.select(F.col("id").alias("qualification_id"), F.col("name").alias("qualification")))
-    x = src.join(t, "teacher_type_id", "left").join(q, "qualification_id", "left")
-    return x.select("person_id", "surname", rules.given_name("first_name", "other_names").alias("given_name"),
-                    "gender", "birth_date", rules.nationality(F.lit(None).cast("string")).alias("nationality"),
-                    "teacher_type", "qualification", "ipps_number", "is_on_government_payroll")
+def decoded(rows: DataFrame, key: str, lookup: DataFrame, name: str, *more: str) -> DataFrame:
+    """``rows`` with the name (and further columns) of a fixed code table."""
+    codes = lookup.select(F.col("id").alias(key), F.col("name").alias(name), *more)
+    return rows.join(F.broadcast(codes), key, "left")
+
+
+def employment(employees: DataFrame, lookups: dict[str, DataFrame], key: str) -> DataFrame:
+    """Employee records with their code tables resolved; ``key`` becomes the
+    column to join by, the columns that a person may have too get ``__e_``."""
+    x = decoded(employees, "highest_education_level_id", lookups["setting_education_levels"], "highest_education_level")
+    x = decoded(x, "employment_status_id", lookups["setting_employment_statuses"], "employment_status")
+    keep = ["employee_id", "hrin", "weekly_teaching_periods", "highest_education_level", "employment_status", "date_updated"]
+    x = x.withColumn("employee_id", F.col("id"))
+    return x.select(F.col(key), *[c for c in keep if c != key], F.col("school_id").alias("__e_school"),
+                    F.col("ipps_number").alias("__e_ipps"), F.col("is_on_government_payroll").alias("__e_payroll"))
+
+
+def teachers_raw(src: DataFrame, employees: DataFrame, docs: DataFrame, countries: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
+    """M-T0a: names, nationality, identity documents and decoded attributes,
+    with the employee record updated last; its payroll number and flag count
+    where the teacher has none."""
+    e = employment(employees, lookups, "person_id")
+    latest = pick_one(e, ["person_id"], [("date_updated", "desc", "last"), ("employee_id", "desc")],
+                      [c for c in e.columns if c not in ("person_id", "date_updated", "employee_id", "__e_school")] + ["employee_id"])
+    x = decoded(src, "teacher_type_id", lookups["setting_teacher_types"], "teacher_type")
+    x = decoded(x, "qualification_id", lookups["setting_teacher_professional_qualifications"], "qualification", "qualification_category")
+    x = decoded(x, "designation_id", lookups["setting_teaching_staff_designations"], "designation")
+    c = countries.select(F.col("n_nationkey").cast("long").alias("country_id"), F.col("n_name").alias("__country"))
+    x = (x.join(c, "country_id", "left").join(latest, "person_id", "left")
+          .join(pivoted_documents(docs, lookups["setting_identity_document_types"], TEACHER_DOCUMENTS), "person_id", "left"))
+    return x.select("person_id", "employee_id", "surname", rules.given_name("first_name", "other_names").alias("given_name"),
+                    "gender", "birth_date", rules.nationality("__country").alias("nationality"), *TEACHER_DOCUMENTS,
+                    "teacher_type", "qualification", "qualification_category", "designation",
+                    F.coalesce("ipps_number", "__e_ipps").alias("ipps_number"),
+                    F.coalesce("is_on_government_payroll", "__e_payroll").alias("is_on_government_payroll"),
+                    "highest_education_level", "employment_status", "hrin", "weekly_teaching_periods")
 
 
 def current_school(employees: DataFrame) -> DataFrame:
@@ -68,7 +99,9 @@ def flatten_teachers(raw: DataFrame, school: DataFrame, calendar: DataFrame, yea
         F.col("start_date").alias("term_start_date"),
         "surname", "given_name", "gender",
         F.when(F.col("birth_date").isNotNull(), rules.age_years("birth_date", day)).alias("age"),
-        "nationality", "teacher_type", "qualification", "ipps_number", "is_on_government_payroll",
+        "nationality", *TEACHER_DOCUMENTS, "teacher_type", "qualification", "qualification_category", "designation",
+        "ipps_number", "is_on_government_payroll", "employee_id", "highest_education_level", "employment_status", "hrin",
+        "weekly_teaching_periods",
         "total_subjects", "science_count",
         rules.discipline("science_count", "total_subjects").alias("discipline"))
 

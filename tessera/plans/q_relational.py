@@ -11,7 +11,7 @@ from tessera.operators.dedupe import pick_one, unique_or_null
 from tessera.operators.hierarchy import unit_to_district
 from tessera.operators.joins import expand_over, or_join_terms
 from tessera.plans import views as V
-from tessera.plans.sqlfrag import term_label_sql, year_label_sql
+from tessera.plans.sqlfrag import first_live_sql, term_label_sql, year_label_sql
 from tessera.plans.registry import Tables, query
 
 
@@ -268,23 +268,20 @@ cand AS (
          CAST(s.s_nationkey AS BIGINT) * 10 + {V.UNIT_CODE['County']} AS county_id,
          CAST(n.n_regionkey AS BIGINT) * 10 + {V.UNIT_CODE['District']} AS district_id
   FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey)
-SELECT s_suppkey,
-  COALESCE({', '.join(f"CASE WHEN EXISTS (SELECT 1 FROM admin_units a WHERE a.source_id = cand.{c} AND a.current_status) THEN cand.{c} END" for c in _LEVELS)}) AS admin_unit_id,
-  COALESCE({', '.join(_LEVELS)}) AS unverified_unit_id
-FROM cand""")
+SELECT cand.s_suppkey, live.unit AS admin_unit_id, COALESCE({', '.join(_LEVELS)}) AS unverified_unit_id
+FROM cand LEFT JOIN {first_live_sql('cand', 's_suppkey', _LEVELS, 'SELECT source_id FROM admin_units WHERE current_status')} live
+  ON live.s_suppkey = cand.s_suppkey""")
 def q_verified_best_level(spark, base):
     """D-09b / J-09: the first candidate level that exists among current
     units (D-09a, unverified coalesce, alongside)."""
     t = Tables(spark, base)
     cur = units(t).where("current_status").select(F.col("source_id").alias("__sid")).distinct()
     c = _candidates(t)
-    verified = []
-    for lvl in _LEVELS:
-        flag = f"__ok_{lvl}"
-        c = c.join(cur.withColumn(flag, F.lit(True)), F.col(lvl) == F.col("__sid"), "left").drop("__sid")
-        verified.append(F.when(F.col(flag), F.col(lvl)))
-    return c.select("s_suppkey", F.coalesce(*verified).alias("admin_unit_id"),
-                    F.coalesce(*[F.col(x) for x in _LEVELS]).alias("unverified_unit_id"))
+    # every level of a supplier is a candidate of one join; the first that is current wins
+    each = c.select("s_suppkey", F.posexplode(F.array(*_LEVELS)).alias("__level", "__unit"))
+    best = (each.join(cur, F.col("__unit") == F.col("__sid")).groupBy("s_suppkey")
+            .agg(F.min(F.struct("__level", "__unit"))["__unit"].alias("admin_unit_id")))
+    return c.join(best, "s_suppkey", "left").select("s_suppkey", "admin_unit_id", F.coalesce(*_LEVELS).alias("unverified_unit_id"))
 
 
 # --- subtype tables, boarding and sex composition -------------------------------

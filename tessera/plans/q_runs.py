@@ -35,30 +35,33 @@ def q_mart_enrolments_raw(spark, base):
     return E.enrolments(t.orders, t.lineitem).where("is_enrolment_active_yn")
 
 
-@query("mart_enrolments_subtype", sql=f"""WITH {E.LOOKUPS_SQL}, {E.ENROLMENTS_SQL},
-grades AS (SELECT CAST(id AS BIGINT) AS id, name, CAST(lv AS BIGINT) AS lv FROM {E._values(GRADES, ['id', 'name', 'lv'])}),
-levels AS (SELECT CAST(id AS BIGINT) AS id, name, CAST(st AS BIGINT) AS st FROM {E._values(LEVELS, ['id', 'name', 'st'])}),
-langs AS (SELECT CAST(id AS BIGINT) AS id, name FROM {E._values(LANGUAGES, ['id', 'name'])})
-SELECT e.id AS enrolment_id, upper(coalesce(t.name, l.name, 'UNKNOWN')) AS school_level, e.education_grade_id AS education_class_id,
-       g.name AS education_class_name, e.id % 4 AS familiar_language_id, f.name AS familiar_language_name, e.date_created
-FROM learner_enrolments e LEFT JOIN grades g ON g.id = e.education_grade_id LEFT JOIN levels l ON l.id = g.lv
-LEFT JOIN setting_school_types t ON t.id = l.st LEFT JOIN langs f ON f.id = e.id % 4
-WHERE e.is_enrolment_active_yn""")
+def _classes() -> list[tuple]:
+    """(class id, name, label of its level): a level is called by its school
+    type where it has one."""
+    types = {k: name for k, name, *_ in E.SCHOOL_TYPES}
+    labels = {k: types.get(kind, name).upper() for k, name, kind in LEVELS}
+    return [(k, name, labels.get(level)) for k, name, level in GRADES]
+
+
+@query("mart_enrolments_subtype", sql=f"""WITH {E.ENROLMENTS_SQL}, active AS (
+  SELECT id AS enrolment_id, education_grade_id AS education_class_id, id % 4 AS familiar_language_id, date_created
+  FROM learner_enrolments WHERE is_enrolment_active_yn)
+SELECT active.*, class_name AS education_class_name, ifnull(label, 'UNKNOWN') AS school_level, language AS familiar_language_name
+FROM active LEFT JOIN (FROM {E._values(_classes(), ['class_id', 'class_name', 'label'])}) ON education_class_id = class_id
+LEFT JOIN (FROM {E._values(LANGUAGES, ['language_id', 'language'])}) ON familiar_language_id = language_id""")
 def q_mart_enrolments_subtype(spark, base):
     """M-E0d / J-02: class, level and language of each active enrolment
-    through the chain of code tables (a few fixed rows each)."""
+    by code tables; the chain from class over level to school type is
+    resolved once, on its few rows."""
     t = Tables(spark, base)
     named = lambda rows, cols: F.broadcast(spark.createDataFrame(rows, cols))
-    grades = named(GRADES, "education_class_id long, education_class_name string, level_id long")
-    levels = named(LEVELS, "level_id long, level_name string, type_id long")
-    types = named([r[:2] for r in E.SCHOOL_TYPES], "type_id long, type_name string")
+    classes = named(_classes(), "education_class_id long, education_class_name string, label string")
     langs = named(LANGUAGES, "familiar_language_id long, familiar_language_name string")
     e = E.enrolments(t.orders, t.lineitem).where("is_enrolment_active_yn").select(
         F.col("id").alias("enrolment_id"), F.col("education_grade_id").alias("education_class_id"),
         (F.col("id") % 4).alias("familiar_language_id"), "date_created")
-    x = (e.join(grades, "education_class_id", "left").join(levels, "level_id", "left").join(types, "type_id", "left")
-          .join(langs, "familiar_language_id", "left"))
-    return x.select("enrolment_id", F.upper(F.coalesce("type_name", "level_name", F.lit("UNKNOWN"))).alias("school_level"),
+    x = e.join(classes, "education_class_id", "left").join(langs, "familiar_language_id", "left")
+    return x.select("enrolment_id", F.coalesce("label", F.lit("UNKNOWN")).alias("school_level"),
                     "education_class_id", "education_class_name", "familiar_language_id", "familiar_language_name", "date_created")
 
 

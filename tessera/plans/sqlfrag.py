@@ -21,5 +21,12 @@ def term_label_sql(name: str) -> str:
     return f"coalesce({lookup}[{name}], CASE WHEN starts_with(upper({name}), 'TERM') THEN upper({name}) END, 'TERM 1')"
 
 
+def first_live_sql(table: str, key: str, levels: list[str], live: str) -> str:
+    """(key, unit): of a row's candidate columns the first in ``levels`` that
+    the query ``live`` lists; rows without one are left out."""
+    return (f"(SELECT c.{key}, arg_min(c.unit, c.place) AS unit FROM (SELECT {key}, unnest([{', '.join(levels)}]) AS unit, "
+            f"unnest(range({len(levels)})) AS place FROM {table}) c WHERE c.unit IN ({live}) GROUP BY c.{key})")
+
+
 def given_name_sql(first: str, other: str) -> str:
     return f"trim(concat_ws(' ', {first}, {other}))"
