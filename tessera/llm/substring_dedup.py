@@ -1,9 +1,10 @@
-"""Removal of repeated passages by level-wise doubling of windows.
+"""Removal of repeated passages by doubling of windows.
 
 A window of ``length`` words can repeat only if the windows of half that length
 inside it repeat. So the first level looks at half-length windows, and only
-where one repeats across documents are the windows of twice the length formed
-and compared; a level without candidates ends the search.
+where one repeats across documents are the windows of the full length formed
+and compared. These two levels stand for the loop: ``length`` is what is judged,
+and a level in between could only drop candidates earlier.
 
 The first level need not look at every half-length window: of those inside a
 full window only the one with the smallest hash is taken, which is the same one
