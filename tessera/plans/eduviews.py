@@ -128,20 +128,30 @@ SUBTYPES_SQL = ",\n".join(subtype_sql(i) for i in range(6))
 
 
 def admin_units_raw(region, nation, supplier, day: int = 1) -> DataFrame:
-    """admin_units_raw snapshot: the live units; day 2 renames every 4th
-    nation's Sub County."""
+    """admin_units_raw snapshot: the live units with their codes; every 7th has
+    no voting code. Day 2 renames every 4th nation's Sub County and gives every
+    5th County another voting code."""
     u = V.admin_units(region, nation, supplier).where("current_status")
     name = F.col("name")
     if day == 2:
         name = F.when((F.col("admin_unit_type") == "Sub County") & F.expr("(source_id - 4) div 10 % 4 = 0"),
                       F.concat(name, F.lit(" NEW"))).otherwise(name)
-    return u.select("source_id", "admin_unit_type", name.alias("name"), "child_id")
+    voting = F.when(F.col("source_id") % 7 != 0, F.concat(F.lit("V"), F.col("source_id").cast("string")))
+    if day == 2:
+        voting = F.when((F.col("admin_unit_type") == "County") & F.expr("source_id div 10 % 5 = 0"), F.concat(F.lit("W"), F.col("source_id").cast("string"))) \
+            .otherwise(voting)
+    code = F.concat(F.upper(F.substring("admin_unit_type", 1, 2)), F.lit("/"), F.col("source_id").cast("string"))
+    return u.select("source_id", "admin_unit_type", name.alias("name"), code.alias("admin_unit_code"), voting.alias("voting_code"), "child_id")
 
 
 def admin_units_raw_sql(day: int = 1, name: str = "au_raw") -> str:
     nm = "name" if day == 1 else \
         "CASE WHEN admin_unit_type = 'Sub County' AND ((source_id - 4) // 10) % 4 = 0 THEN name || ' NEW' ELSE name END"
-    return f"{name} AS (SELECT source_id, admin_unit_type, {nm} AS name, child_id FROM admin_units WHERE current_status)"
+    voting = "CASE WHEN source_id % 7 <> 0 THEN 'V' || CAST(source_id AS VARCHAR) END"
+    if day == 2:
+        voting = f"CASE WHEN admin_unit_type = 'County' AND source_id // 10 % 5 = 0 THEN 'W' || CAST(source_id AS VARCHAR) ELSE {voting} END"
+    return f"""{name} AS (SELECT source_id, admin_unit_type, {nm} AS name, upper(left(admin_unit_type, 2)) || '/' || CAST(source_id AS VARCHAR) AS admin_unit_code,
+  {voting} AS voting_code, child_id FROM admin_units WHERE current_status)"""
 
 
 # ---------------------------------------------------------------------------
@@ -498,6 +508,53 @@ TEACHER_SUBJECTS_SQL = f"""teacher_subjects AS (SELECT DISTINCT l_partkey + {TEA
   CAST(l_linenumber AS BIGINT) AS subject_id, l_linenumber <= 3 AS is_science_subject FROM lineitem)"""
 
 
+def teacher_transfers(lineitem: DataFrame) -> DataFrame:
+    """Transfers: each line moves a teacher from its own supplier to the one on
+    the order's first line. Every 50th order has no posting date, line 5 no
+    reporting date, line 7 no incoming local government."""
+    first = V.first_supplier(lineitem, "__o", "incoming_school_id")
+    part, out, line, day = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"), F.to_date("l_shipdate")
+    x = lineitem.join(first, F.col("l_orderkey") == F.col("__o"), "left")
+    inc = F.col("incoming_school_id")
+    return x.select(
+        (F.col("l_orderkey") * 10 + line).alias("transfer_id"), (part + TEACHER_OFFSET).alias("person_id"),
+        (part * RECORD_STEP + inc).alias("employee_id"), (part * RECORD_STEP + out).alias("outgoing_employee_id"),
+        out.alias("outgoing_school_id"), inc, (out % 25).alias("outgoing_local_government_id"),
+        F.when(line != 7, inc % 25).alias("incoming_local_government_id"),
+        F.when(F.col("l_orderkey") % 50 != 0, day).alias("posting_date"),
+        F.when(line != 5, F.date_add(day, line * 3 - 4)).alias("reporting_date"), (line % 4).alias("status"),
+        F.concat(F.lit("MIN/"), F.col("l_orderkey").cast("string")).alias("appointment_minute_number"),
+        line.cast("long").alias("category_id"), day.alias("date_created"), F.date_add(day, line).alias("date_updated"))
+
+
+TEACHER_TRANSFERS_SQL = f"""teacher_transfers AS (
+  SELECT l_orderkey * 10 + l_linenumber AS transfer_id, l_partkey + {TEACHER_OFFSET} AS person_id, l_partkey * {RECORD_STEP} + i.s AS employee_id,
+    l_partkey * {RECORD_STEP} + l_suppkey AS outgoing_employee_id, l_suppkey AS outgoing_school_id, i.s AS incoming_school_id,
+    l_suppkey % 25 AS outgoing_local_government_id, CASE WHEN l_linenumber <> 7 THEN i.s % 25 END AS incoming_local_government_id,
+    CASE WHEN l_orderkey % 50 <> 0 THEN CAST(l_shipdate AS DATE) END AS posting_date,
+    CASE WHEN l_linenumber <> 5 THEN CAST(l_shipdate AS DATE) + (l_linenumber * 3 - 4) END AS reporting_date, l_linenumber % 4 AS status,
+    'MIN/' || CAST(l_orderkey AS VARCHAR) AS appointment_minute_number, CAST(l_linenumber AS BIGINT) AS category_id,
+    CAST(l_shipdate AS DATE) AS date_created, CAST(l_shipdate AS DATE) + l_linenumber AS date_updated
+  FROM lineitem JOIN (SELECT l_orderkey, first(l_suppkey ORDER BY l_linenumber, l_suppkey) AS s FROM lineitem GROUP BY l_orderkey) i
+  USING (l_orderkey))"""
+
+
+def teacher_postings(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select((F.col("l_partkey") + TEACHER_OFFSET).alias("person_id"), F.col("l_suppkey").alias("school_id"),
+                           F.to_date("l_shipdate").alias("posting_date"), (F.col("l_linenumber") % 4).alias("status"))
+
+
+def local_governments(nation: DataFrame) -> DataFrame:
+    """Upper local governments; every 8th hangs on no district."""
+    return nation.select(F.col("n_nationkey").cast("long").alias("id"),
+                         F.when(F.col("n_nationkey") % 8 != 7, F.col("n_regionkey").cast("long")).alias("district_id"))
+
+
+def districts(region: DataFrame) -> DataFrame:
+    """Districts; the last is archived."""
+    return region.select(F.col("r_regionkey").cast("long").alias("id"), F.col("r_name").alias("name"), (F.col("r_regionkey") == 4).alias("is_archived_yn"))
+
+
 # ---------------------------------------------------------------------------
 # Non-teaching staff: part -> staff persons; lineitem -> employee records.
 # Staff category and role seed rows.

@@ -30,7 +30,7 @@ ADMIN_LEVELS = ["parish_id", "sub_county_id", "county_id", "district_id", "regio
                 "local_government_id"]
 GENERAL_SUBTYPES = ["pre_primary", "primary", "secondary", "international"]
 RESIDENTIAL_SUBTYPES = ["certificate", "diploma"]
-ADMIN_KEYS, ADMIN_TRACKED = ["source_id", "admin_unit_type"], ["name", "child_id"]
+ADMIN_KEYS, ADMIN_TRACKED = ["source_id", "admin_unit_type"], ["name", "admin_unit_code", "voting_code", "child_id"]
 
 
 def flatten_schools(raw: DataFrame, subtypes: dict[str, DataFrame], lookups: dict[str, DataFrame],

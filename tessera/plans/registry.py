@@ -52,5 +52,5 @@ class Tables:
 def load_all():
     """Import every catalogue module so its queries register."""
     from tessera.plans import (q_warehouse, q_relational, q_scalar, q_quality,  # noqa: F401
-                               q_marts, q_reports, q_edu, q_runs, q_stored, q_staff)
+                               q_marts, q_reports, q_edu, q_runs, q_stored, q_staff, q_transfers, q_ids)
     return QUERIES, ORACLE
