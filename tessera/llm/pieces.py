@@ -89,6 +89,7 @@ class Vocabulary:
         self.present[self.keys >> _U(44)] = True
         self.ranks = np.append(self.scores, -np.inf)            # the last one for no piece (-1)
         self.memo: dict[str, bytes] = {}
+        self.memo_size = MEMO
         self.raw, self.size, self.power = raw[order], sizes[order], _powers(_BASE, self.longest + 1)
         self.pair, self.answer = np.full(1 << 20, -1, np.int64), np.zeros(1 << 20, bool)
         self._take_apart([pieces[i] for i in self.ids])
@@ -323,7 +324,7 @@ class Vocabulary:
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids the model itself gives whole texts, as little-endian int32."""
         memo = self.memo
-        if len(memo) > MEMO:
+        if len(memo) > self.memo_size:
             memo.clear()
         cut = [segments(t) for t in texts]
         self.learn({s for parts in cut for s in parts})
@@ -338,10 +339,11 @@ class Vocabulary:
 _LOADED: dict[int, Vocabulary] = {}
 
 
-def vocabulary(model: bytes) -> Vocabulary:
+def vocabulary(model: bytes, memo_size: int = MEMO) -> Vocabulary:
     """One per worker process, so its memo serves all tasks that run there."""
     key = hash(model)
     if key not in _LOADED:
         _LOADED.clear()
         _LOADED[key] = Vocabulary(model)
+    _LOADED[key].memo_size = memo_size
     return _LOADED[key]

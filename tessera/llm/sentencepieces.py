@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from tessera.llm.pieces import MARK, vocabulary
+from tessera.llm.pieces import MARK, MEMO, vocabulary
 
 ROWS = 256   # texts handled at a time: more of them make longer batches of equal length
 
@@ -34,16 +34,18 @@ def _fresh(schema: StructType, *names: str) -> None:
         raise ValueError(f"the input already has columns {clash}: rename them first")
 
 
-def encoded(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "piece_ids", keep_text: bool = True) -> DataFrame:
+def encoded(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "piece_ids", keep_text: bool = True,
+            memo_size: int = MEMO) -> DataFrame:
     """``docs`` with an array column of piece ids; without ``keep_text`` the
-    text does not travel back from Python."""
+    text does not travel back from Python. ``memo_size`` bounds the segments that
+    a worker process remembers: memory and time depend on it, the ids don't."""
     _fresh(docs.schema, ids_col)
     at = docs.columns.index(text_col)
     kept = [i for i in range(len(docs.columns)) if keep_text or i != at]
     schema = StructType([*(docs.schema.fields[i] for i in kept), StructField(ids_col, ArrayType(IntegerType(), False), False)])
 
     def run(batches):
-        vocab = vocabulary(model)
+        vocab = vocabulary(model, memo_size)
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)

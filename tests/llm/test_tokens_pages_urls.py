@@ -80,6 +80,12 @@ def test_encode_and_decode_come_back(odd_docs, odd_rows, model):
         encoded(odd_docs, model, ids_col="kept")
 
 
+def test_a_small_memo_changes_no_id(odd_docs, model):
+    few = encoded(odd_docs, model, keep_text=False, memo_size=3).select("doc_id", F.col("piece_ids").alias("few"))
+    both = encoded(odd_docs, model, keep_text=False).select("doc_id", "piece_ids").collect()
+    assert sorted((str(r["doc_id"]), r["few"]) for r in few.collect()) == sorted((str(r["doc_id"]), r["piece_ids"]) for r in both)
+
+
 def test_token_counts_and_their_cache(odd_docs, odd_rows, no_docs, tmp_path):
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
