@@ -52,10 +52,14 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_pieces and the piece ids of the whole text."""
     rows = docs.select("doc_id", "lang", "source", "text")
-    out = encoded(rows, read_model(public_tokenizers.path(PIECE_MODEL)), keep_text=False)
+    out = encoded(rows, read_model(public_tokenizers.path(PIECE_MODEL)), keep_text=False, memo_size=MEMO_SIZE)
     return out.select("doc_id", "lang", "source", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids")
 
 
+# Segments a worker process remembers in the last stage: the executors still
+# hold what the stages before it took, so fewer than in the operator alone.
+MEMO_SIZE = 100_000
+
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
