@@ -1,9 +1,10 @@
 """Exact distinct counts that roll up: bitmaps per group, merged level by level.
 
-``bitmaps`` reads the rows once and keeps, per finest group and block of 32,768
-ids, a bitmap of the ids seen. Any coarser level merges those bitmaps by ``or``;
-the rows are not read again and a member that several groups share is counted
-once. A bitmap has 4 KB at most, whatever the number of rows behind it.
+``bitmaps`` reads the rows once and keeps, per finest group and block of 64 ids,
+a bitmap of the ids seen, as one long. Any coarser level merges those bitmaps by
+``or``; the rows are not read again and a member that several groups share is
+counted once. A group of few members spread over many ids costs 8 bytes a block,
+and longs are merged by hash aggregates.
 """
 
 from __future__ import annotations
@@ -11,19 +12,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+BLOCK_BITS = 6      # 64 ids: what a long holds
+
 
 def bitmaps(rows: DataFrame, groups: list[str], member: str) -> DataFrame:
     """(groups..., bucket, seen): ``member`` must be an integer; rows without
     one are left out."""
     ids = rows.where(F.col(member).isNotNull())
     m = F.col(member).cast("long")
-    return (ids.select(*groups, F.bitmap_bucket_number(m).alias("bucket"), F.bitmap_bit_position(m).alias("bit"))
-            .groupBy(*groups, "bucket").agg(F.bitmap_construct_agg("bit").alias("seen")))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), m.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    return (ids.select(*groups, F.shiftright(m, BLOCK_BITS).alias("bucket"), bit.alias("bit"))
+            .groupBy(*groups, "bucket").agg(F.bit_or("bit").alias("seen")))
 
 
 def merged(bits: DataFrame, groups: list[str]) -> DataFrame:
     """Bitmaps of a coarser level."""
-    return bits.groupBy(*groups, "bucket").agg(F.bitmap_or_agg("seen").alias("seen"))
+    return bits.groupBy(*groups, "bucket").agg(F.bit_or("seen").alias("seen"))
 
 
 def distinct_counts(bits: DataFrame, groups: list[str], counts: dict[str, Column | None]) -> DataFrame:
@@ -34,5 +38,5 @@ def distinct_counts(bits: DataFrame, groups: list[str], counts: dict[str, Column
     # Members of several finer groups are merged before they are counted.
     flags = {n: (F.lit(True) if c is None else F.coalesce(c, F.lit(False))) for n, c in counts.items()}
     per_bucket = bits.groupBy(*groups, "bucket").agg(
-        *[F.bitmap_or_agg(F.when(c, F.col("seen"))).alias(n) for n, c in flags.items()])
-    return per_bucket.groupBy(*groups).agg(*[F.coalesce(F.sum(F.bitmap_count(n)), F.lit(0)).alias(n) for n in counts])
+        *[F.bit_or(F.when(c, F.col("seen"))).alias(n) for n, c in flags.items()])
+    return per_bucket.groupBy(*groups).agg(*[F.coalesce(F.sum(F.bit_count(n)), F.lit(0)).alias(n) for n in counts])

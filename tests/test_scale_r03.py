@@ -51,3 +51,37 @@ def test_flat_staging_is_stored_before_the_terms(spark, monkeypatch):
     assert {name: len(runs) for name, runs in stored.items()} == {
         "teacher_records": 1, "teacher_identities": 1, "subject_counts": 1, "term_calendar": 1, "academic_years": 1,
         "teachers_staffed": 2, "nts_raw": 1}
+
+
+def test_latest_before_shuffles_its_probes_once_and_hot_keys_agree(spark):
+    from tessera.operators.asof import latest_before
+    rows = spark.range(600).select((F.col("id") % 5).alias("k"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 7 % 90).cast("int")).alias("d"),
+                                   F.col("id").alias("v"))
+    rows = rows.select(F.when(F.col("v") % 50 != 0, F.col("k")).alias("k"), F.when(F.col("v") % 31 != 0, F.col("d")).alias("d"), "v")
+    cands = rows.where("v % 3 = 0").select(F.col("k").alias("ck"), F.col("d").alias("cd"), F.col("v").alias("w"))
+    for strict in (True, False):
+        run = lambda n: latest_before(rows, cands, ["k"], ["ck"], "d", "cd", values=["w"], strict=strict, hot_rows=n)  # noqa: E731, B023
+        got = [sorted(map(str, run(n).collect())) for n in (10 ** 6, 150, 0)]
+        assert got[0] == got[1] == got[2] and len(got[0]) == 600
+    assert "Join" not in _plan(run(10 ** 6))
+
+
+def test_a_climb_ends_when_only_cycles_are_left(spark, monkeypatch):
+    from tessera.operators import tree
+    stored = []
+    monkeypatch.setattr(tree, "materialize", lambda df, name: stored.append(materialize(df, name)) or stored[-1])
+    # chains of 8 below a root, and 4,000 nodes below a node that is its own parent
+    rows = [(i, None if i % 8 == 0 else i - 1, "n") for i in range(64)] + [(100, 100, "n")] + [(i, 100, "n") for i in range(101, 4101)]
+    out = tree.climb(spark.createDataFrame(rows, "id long, parent long, kind string"), "id", "parent", "kind", ("click",))
+    got = {r["status"]: r["n"] for r in out.groupBy("status").agg(F.count("*").alias("n")).collect()}
+    assert got == {"OK": 64, "CYCLE": 4001} and out.where("status = 'OK'").agg(F.max("depth")).first()[0] == 7
+    assert len(stored) <= 6 and stored[-1].count() == 4001
+
+
+def test_bitmaps_of_scattered_members_are_small(spark):
+    from tessera.operators import coverage
+    rows = spark.createDataFrame([(1, 5), (1, 10 ** 6), (1, -3), (2, 5), (2, 63), (2, 64), (2, None)], "g int, m long")
+    bits = coverage.bitmaps(rows, ["g"], "m")
+    assert bits.schema["seen"].dataType.typeName() == "long"
+    assert {r["g"]: r["n"] for r in coverage.distinct_counts(bits, ["g"], {"n": None}).collect()} == {1: 3, 2: 3}
+    assert coverage.distinct_counts(bits, [], {"n": None}).first()["n"] == 5
