@@ -40,10 +40,11 @@ def climb(nodes: DataFrame, id_col: str, parent_col: str, kind_col: str | None =
     # the highest node reached, ``depth`` how many steps that is.
     climbing = F.col("up").isNotNull()
     live = materialize(start.withColumn("top", F.coalesce("up", "top")), "tree")
+    rounds, limit = 0, max(1, live.count()).bit_length() + 1     # the bound holds if an id repeats, too
     settled, live = live.where(~climbing), live.where(climbing)
     wanted = [F.count_if(F.col(f"nearest_{k}").isNull()) for k in kinds]
     before, left = None, live.agg(F.count(F.lit(1)), *wanted).first()
-    while left[0] and left != before:
+    while rounds < limit and left[0] and left != before:
         above = settled.unionByName(live)
         above = above.select(*[F.col(c).alias(f"a__{c}") for c in above.columns])
         climbed = materialize(live.join(above, F.col("up") == F.col("a__id"), "left").select(
@@ -52,6 +53,7 @@ def climb(nodes: DataFrame, id_col: str, parent_col: str, kind_col: str | None =
             *[F.coalesce(f"nearest_{k}", f"a__nearest_{k}").alias(f"nearest_{k}") for k in kinds]), "tree")
         settled, live = settled.unionByName(climbed.where(~climbing)), climbed.where(climbing)
         before, left = left, live.agg(F.count(F.lit(1)), *wanted).first()
+        rounds += 1
     cycle = climbing
     return settled.unionByName(live).select("id", F.when(~cycle, F.col("top")).alias("root"), F.when(~cycle, F.col("depth")).alias("depth"),
                        F.when(cycle, CYCLE).when(F.col("orphan"), ORPHAN).otherwise(OK).alias("status"), *[f"nearest_{k}" for k in kinds])
