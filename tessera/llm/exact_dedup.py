@@ -24,19 +24,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACE_CLASS, Scratch, let, text_or_empty
+from tessera.llm.common import Scratch, let, text_or_empty
 
 BLOCK = 1024
+OTHER_SPACES = "\t\n\v\f\r"    # with the space, all of SPACE_CLASS
 
 
 def normalised(text_col: str) -> Column:
-    return F.regexp_replace(text_or_empty(text_col), f"[{SPACE_CLASS}]+", " ")
+    """Each run of white space as one space. Single characters are replaced
+    without a regular expression; only texts with a run of spaces need one."""
+    text = text_or_empty(text_col)
+    for c in OTHER_SPACES:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return let(text, lambda t: F.when(F.contains(t, F.lit("  ")), F.regexp_replace(t, " {2,}", " ")).otherwise(t))
 
 
 def cut_blocks(text: Column, size: int) -> Column:
     """Array of the consecutive blocks of ``size`` code points (the last is
     shorter); an empty text has one empty block."""
-    return let(F.regexp_extract_all(text, F.lit(f"([\\s\\S]{{1,{size}}})"), F.lit(1)),
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0)),
                lambda b: F.when(F.size(b) == 0, F.array(F.lit(""))).otherwise(b))
 
 
