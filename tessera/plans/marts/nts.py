@@ -10,7 +10,7 @@ from tessera.operators import scd2
 from tessera.operators.dedupe import pick_one
 from tessera.operators.facts import load_fact_earliest
 from tessera.operators.joins import expand_over
-from tessera.plans.marts.teachers import decoded, employment
+from tessera.plans.marts.teachers import decoded, employment, last_terms
 from tessera.session import materialize
 
 # The columns whose change opens a staff version; the others are carried.
@@ -36,9 +36,10 @@ def nts_raw(src: DataFrame, employees: DataFrame, countries: DataFrame, lookups:
                     [c for c in x.columns if c not in ("person_id", "date_updated", "employee_id")] + ["employee_id"])
 
 
-def flatten_nts(raw: DataFrame, calendar: DataFrame, years: DataFrame, periods: DataFrame, as_of) -> DataFrame:
+def flatten_nts(raw: DataFrame, calendar: DataFrame, years: DataFrame, periods: DataFrame, as_of, last: bool = False) -> DataFrame:
     """M-N1 / J-04 / CAL-02: every staff member with a school x each active
-    global term, the calendar deduplicated first (no 4x duplication)."""
+    global term, the calendar deduplicated first (no 4x duplication). With
+    ``last`` only the latest of these terms, for a snapshot."""
     act = calendar.where((F.col("status") == "active") & F.col("school_id").isNull())
     one = pick_one(act, ["academic_year_id", "teaching_period_id"], [("school_type_id", "asc"), ("id", "asc")],
                    ["start_date"])
@@ -48,6 +49,8 @@ def flatten_nts(raw: DataFrame, calendar: DataFrame, years: DataFrame, periods:
                                                  F.col("name").alias("__tp"))), "teaching_period_id")
                 .select(rules.academic_year("__ay", "start_date").alias("academic_year"),
                         rules.term_label("__tp").alias("term"), F.col("start_date").alias("term_start_date")))
+    if last:
+        named = last_terms(named.withColumn("cal_school", F.lit(None).cast("long"))).drop("cal_school")
     staff = raw.where(F.col("school_id").isNotNull())
     x = expand_over(staff, named)
     day = F.to_date(F.lit(as_of))
