@@ -67,7 +67,9 @@ def identities(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, bl
 
     rows = stored_rows(False, "rows")
     distinct = norm.select(F.explode(blocks_of).alias("block")).select(hash_of("block").alias("hash"), "block").distinct()
-    names = scratch.save(_numbered(distinct, "block").select("hash", "name"), "names-0")
+    # The names are a small part of the blocks' bytes: gathered into few files. A
+    # task that writes a file starts processes where Hadoop's native library is missing.
+    names = scratch.save(_numbered(distinct, "block").select("hash", "name").hint("rebalance"), "names-0")
     clashes = names.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     at = ("row_id", F.size("hashes").alias("n_blocks"))
     if clashes.isEmpty():
@@ -84,14 +86,14 @@ def identities(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, bl
         if longer.isEmpty():
             break
         first, second = (F.max(F.when(F.col("pos") % 2 == k, F.col("name"))) for k in (0, 1))
-        pairs = scratch.save(longer.groupBy("row_id", F.floor(F.col("pos") / 2).cast("int").alias("pos")).agg(
-            F.max("n_blocks").alias("n_blocks"), first.alias("first"), F.coalesce(second, F.lit(-1)).alias("second")),
-            f"pairs-{level}")
+        # Not stored: the stored cells give the same pairs each time.
+        pairs = longer.groupBy("row_id", F.floor(F.col("pos") / 2).cast("int").alias("pos")).agg(
+            F.max("n_blocks").alias("n_blocks"), first.alias("first"), F.coalesce(second, F.lit(-1)).alias("second"))
         level += 1
         names = scratch.save(_numbered(pairs.select("first", "second").distinct(), "first", "second"), f"names-{level}")
         cells = scratch.save(pairs.join(names, ["first", "second"]).select(
             "row_id", F.ceil(F.col("n_blocks") / 2).cast("int").alias("n_blocks"), "pos", "name"), f"cells-{level}")
-        scratch.drop(f"pairs-{level - 1}", f"names-{level}")
+        scratch.drop(f"names-{level}")
     last = finished[0]
     for more in finished[1:]:
         last = last.union(more)
