@@ -33,8 +33,9 @@ LEFT JOIN traw2 w ON w.person_id = x.person_id LEFT JOIN tcounts k ON k.person_i
 def transfers_raw(spark, t):
     lk = {**E.lookups(spark), **E.enrolment_lookups(spark), **E.teacher_lookups(spark), **E.employment_lookups(spark)}
     people = TE.teachers_raw(E.teachers_src(t.part, 2), E.school_employees(t.lineitem), E.teacher_documents(t.lineitem), t.nation, lk)
-    return X.transfers_raw(E.teacher_transfers(t.lineitem), E.schools_raw(t.supplier, t.nation, 2), lk["setting_school_types"],
-                           E.local_governments(t.nation), E.districts(t.region), E.teacher_postings(t.lineitem), people, E.teacher_subjects(t.lineitem))
+    people = X.teachers_and_counts(people, E.teacher_subjects(t.lineitem))      # first: its shuffles go before transfers are stored
+    return X.transfers_of(E.teacher_transfers(t.lineitem), E.schools_raw(t.supplier, t.nation, 2), lk["setting_school_types"],
+                          E.local_governments(t.nation), E.districts(t.region), E.teacher_postings(t.lineitem), people)
 
 
 @query("mart_transfers_raw", sql=f"WITH {TRANSFERS_RAW_SQL}\nSELECT * FROM xfers")
